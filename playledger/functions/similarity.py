@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def common_length(a: str, b: str) -> int:
@@ -101,13 +102,13 @@ def weighted_ratio(a: str, b: str) -> float:
     )
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def indel_distance(a: pa.Array, b: pa.Array) -> pa.Array:
     pairs = zip(a.to_pylist(), b.to_pylist())
     return pa.array([None if x is None or y is None else distance(x, y) for x, y in pairs], pa.int32())
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def weighted_similarity(a: pa.Array, b: pa.Array) -> pa.Array:
     """Weighted ratio of two match texts; null when either is null."""
     pairs = zip(a.to_pylist(), b.to_pylist())

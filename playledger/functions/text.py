@@ -6,6 +6,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The embedding task names the request format accepts.
 EMBEDDING_TASKS = (
@@ -50,7 +51,7 @@ EXCLUDED_TITLE_TERMS = (
 )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _compose(texts: pa.Array) -> pa.Array:
     return pc.utf8_normalize(texts, form="NFC")
 

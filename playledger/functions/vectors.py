@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def fixed_width(vector: Column, dim: int) -> Column:
@@ -25,7 +26,7 @@ def nearest(vector: Column, centers: np.ndarray, labels: np.ndarray) -> Column:
     """
     dim = centers.shape[1]
 
-    @F.arrow_udf("bigint")
+    @F.arrow_udf(T.LongType())
     def assign(vectors: pa.Array) -> pa.Array:
         known = vectors.is_valid().to_numpy(zero_copy_only=False)
         flat = vectors.flatten().to_numpy(zero_copy_only=False)

@@ -1,58 +1,54 @@
-"""Declared schemas of every external record; JSON is never inferred."""
+"""Declared schemas of every external record, as DDL; JSON is never inferred."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 EMBEDDING_DIM = 768
 
-PLAY = T.StructType.fromDDL(
+PLAY = (
     "name string, streamable string, url string, "
     "artist struct<`#text`: string, mbid: string>, "
     "album struct<`#text`: string, mbid: string>, "
     "date struct<uts: string, `#text`: string>, "
     "`@attr` struct<nowplaying: string>"
 )
-PLAY_PAGE = T.StructType(
-    [T.StructField("recenttracks", T.StructType([T.StructField("track", T.ArrayType(PLAY))]))]
-)
+PLAY_PAGE = f"recenttracks struct<track: array<struct<{PLAY}>>>"
 
-SCROBBLES = T.StructType.fromDDL(
+SCROBBLES = (
     "song string, artist string, album string, artist__mbid string, album__mbid string, "
     "dt timestamp, url string"
 )
 
-RECENT_PLAY = T.StructType.fromDDL(
+RECENT_PLAY = (
     "id string, name string, played_at timestamp, "
     "artists array<struct<id: string, name: string>>, "
     "album struct<id: string, name: string, available_markets: array<string>>, "
     "available_markets array<string>"
 )
 
-SEARCH_HIT = T.StructType.fromDDL(
+SEARCH_HIT = (
     "index string, type string, result struct<"
     "id: bigint, artist_names: string, full_title: string, primary_artist_names: string, "
     "title: string, title_with_featured: string, lyrics_state: string, "
     "release_date_components: struct<year: int, month: int, day: int>, "
     "stats: struct<pageviews: bigint, hot: boolean>>"
 )
-SEARCH_HITS = T.ArrayType(SEARCH_HIT)
+SEARCH_HITS = f"array<struct<{SEARCH_HIT}>>"
 
-SEARCHES = T.StructType.fromDDL(
+SEARCHES = (
     "song string, artist string, searchtext string, g_id bigint, g_artist_names string, "
     "g_full_title string, g_primary_artist_names string, g_title string, "
     "g_title_with_featured string, g_release_date date, g_pageviews bigint, "
     "g_lyrics_complete boolean"
 )
 
-MATCHES = T.StructType.fromDDL(
+MATCHES = (
     "song string, artist string, g_id bigint, g_title string, g_artist string, match_score int"
 )
 
-CATALOGUE = T.StructType.fromDDL("id bigint, title string, artist string")
+CATALOGUE = ("id bigint, title string, artist string")
 
 _ARTIST = "struct<id: bigint, name: string, url: string>"
-SONG = T.StructType.fromDDL(
+SONG = (
     "id bigint, title string, full_title string, path string, url string, language string, "
     "artist_names string, primary_artist_names string, lyrics_state string, release_date date, "
     f"album struct<id: bigint, name: string, full_title: string, artist: {_ARTIST}, "
@@ -65,23 +61,23 @@ SONG = T.StructType.fromDDL(
     "translation_songs array<struct<id: bigint, language: string, title: string, url: string>>"
 )
 
-LYRICS = T.StructType.fromDDL("id bigint, lyrics string")
+LYRICS = ("id bigint, lyrics string")
 
-EMBEDDINGS = T.StructType.fromDDL("id bigint, embedding array<double>")
+EMBEDDINGS = ("id bigint, embedding array<double>")
 
-EMBEDDING_RESULT = T.StructType.fromDDL(
+EMBEDDING_RESULT = (
     "key string, response struct<embedding: struct<values: array<double>>>"
 )
 
-JOBS = T.StructType.fromDDL(
+JOBS = (
     "name string, display_name string, state string, model string, "
     "create_time timestamp, start_time timestamp, end_time timestamp, update_time timestamp"
 )
 
-LABELS = T.StructType.fromDDL("id bigint, cluster bigint")
-CENTROIDS = T.StructType.fromDDL("cluster bigint, centroid array<double>")
+LABELS = ("id bigint, cluster bigint")
+CENTROIDS = ("cluster bigint, centroid array<double>")
 
 TRAITS = ("OPN", "CON", "EXT", "AGR", "NEU")
-TRAIT_SCORES = T.StructType.fromDDL(
+TRAIT_SCORES = (
     "id bigint, " + ", ".join(f"{trait} double" for trait in TRAITS)
 )

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from playledger.functions.text import search_text
 from playledger.functions.vectors import fixed_width
@@ -21,7 +20,7 @@ def read_table(spark: SparkSession, table: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def table_or_empty(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+def table_or_empty(spark: SparkSession, table: str, schema: str) -> DataFrame:
     """The table, or an empty frame of its schema before the first write."""
     if spark.catalog.tableExists(table):
         return spark.table(table)
