@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,7 +54,8 @@ EXCLUDED_TITLE_TERMS = (
 
 @F.arrow_udf(T.StringType())
 def _compose(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFC")
+    composed = (t if t is None else normalize("NFC", t) for t in texts.to_pylist())
+    return pa.array(composed, pa.string())
 
 
 def nfc(text: Column) -> Column:

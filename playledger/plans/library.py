@@ -17,7 +17,7 @@ from playledger.operators.responses import answer, lyrics_records, song_records
 from playledger.operators.scoring import REQUEST_ROWS, Scorer, score_traits
 from playledger.operators.upsert import dedupe
 from playledger.plans.tables import Tables
-from playledger.sinks.tables import append, merge, merge_nested
+from playledger.sinks.tables import append, merge, merge_nested, staged
 from playledger.sources.tables import table_or_empty
 
 SONG_STATE = "id bigint, full_title string, lyrics_state string"
@@ -28,9 +28,10 @@ def _store_songs(queue: DataFrame, responses: DataFrame, table: str) -> dict[str
     parsed = responses.select(
         "id", "seq", "status", F.from_json("body", schemas.SONG).alias("song")
     )
-    songs = song_records(answer(queue.distinct(), parsed, ["id"]))
-    tables = normalize(dedupe(songs, ["id"]), table, ["id"])
-    return merge_nested(tables, table, ["id"])
+    found = song_records(answer(queue.distinct(), parsed, ["id"]))
+    # Staged once, as every child table reads it.
+    songs, _ = staged(dedupe(found, ["id"]))
+    return merge_nested(normalize(songs, table, ["id"]), table, ["id"])
 
 
 def load_songs(spark: SparkSession, tables: Tables, responses: DataFrame) -> dict[str, int]:

@@ -19,6 +19,7 @@ from playledger.operators.validate import require_unique
 from playledger.session import ensure_checkpoint_dir
 
 MAX_PARTITIONS_PER_MERGE = 10_000
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def staged(df: DataFrame) -> tuple[DataFrame, int]:
@@ -80,6 +81,17 @@ def merge(
     return rows
 
 
+def _overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replaces the partitions that occur in `df`; `insertInto` reads the mode from the session."""
+    conf = df.sparkSession.conf
+    before = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(OVERWRITE_MODE, before)
+
+
 def merge_partitions(
     incoming: DataFrame,
     table: str,
@@ -104,8 +116,7 @@ def merge_partitions(
     target = spark.table(table)
     old = target.where(F.col(partition).isin(touched))
     merged, _ = staged(upsert(old, fresh, keys).select(*target.columns))
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table)
+    _overwrite_partitions(merged, table)
     return rows
 
 
