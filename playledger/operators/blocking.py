@@ -2,10 +2,12 @@
 
 Two texts of length n and m whose ratio rounds to `cutoff` or more lie within
 `t = (201 - 2*cutoff) * (n + m) / 200` insertions and deletions. Cut one text into `D + 1`
-pieces, D being t for its longest admissible partner: at least one piece occurs unchanged in
-the other text, with at most j edits before piece j and at most D - j after it (Li et al.,
-"Pass-Join", VLDB 2011; an indel distance is never below an edit distance). So instead of
-comparing all pairs, both sides meet in an equi-join on (length, piece number, piece text).
+pieces, D being t for its longest admissible partner: some piece j occurs unchanged in the
+other text with exactly j edits before it and at most D - j after it (after Li et al.,
+"Pass-Join", VLDB 2011: the edits before piece j, less j, start at 0, end below 0 and fall by
+one only over an unchanged piece). So instead of comparing all pairs, both sides meet in an
+equi-join on (length, piece number, piece text). The number of edits also fixes by how much,
+up to parity, a piece has moved.
 
 A piece that very many texts share would still bring them all together. Such a block is not
 joined. The rest of its texts, left and right of the piece, is cut again under the edit
@@ -14,7 +16,8 @@ Every true pair stays findable at each step, so nothing is dropped or capped.
 
 A state row is a text with the parts of it that are still open:
 `parts array<struct<at, len, span, edits>>` - where the part starts in this text, its length,
-the length of the candidate's part and the edits allowed in it.
+the length of the candidate's part and its number of edits (exact, but at most for the last
+part of the text). A query row also has `spare`, the edits its own length leaves unused.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from playledger.functions.similarity import indel_distance
 from playledger.session import ensure_checkpoint_dir
 
-MAX_BLOCK = 500
+MAX_BLOCK = 50
 _PARTS = "array<struct<at: int, len: int, span: int, edits: int>>"
 
 
@@ -83,11 +86,14 @@ def _query_states(queries: DataFrame, slack: int) -> DataFrame:
                 )
             ),
         )
-        .where(F.expr(f"{_allowed('n + m', slack)} >= 1"))
+        .withColumn("edits", F.expr(_allowed("n + m", slack)))
+        .withColumn("edits", F.expr("edits - (edits - abs(n - m)) % 2"))
+        .where("edits >= 1")
         .withColumn("budget", F.expr(_budget("m", slack)))
+        .withColumn("spare", F.expr("budget - edits"))
         .withColumn("block", F.xxhash64("m"))
         .withColumn("parts", F.expr(f"cast(array(struct(0, n, m, budget)) as {_PARTS})"))
-        .drop("n", "m", "budget")
+        .drop("n", "m", "budget", "edits")
     )
 
 
@@ -120,11 +126,14 @@ def _split(states: DataFrame, shifted: bool) -> DataFrame:
     )
     if shifted:
         gap = "(part.len - part.span)"
-        low = f"greatest(-piece, {gap} - after, -start)"
-        high = f"least(piece, {gap} + after, part.len - size - start)"
-        cut = cut.withColumn(
-            "shift", F.explode(F.expr(f"if({low} <= {high}, sequence({low}, {high}), array())"))
-        )
+        last = "part.at + part.len = length(text)"
+        cut = cut.withColumn("room", F.expr(f"after - if({last}, spare, 0)"))
+        # From the lowest to the highest move, in steps of two.
+        low = f"greatest(-piece, {gap} - room, -start)"
+        low = f"({low} + abs({low} + piece) % 2)"
+        high = f"least(piece, {gap} + room, part.len - size - start)"
+        moves = f"if(room >= 0 and {low} <= {high}, sequence({low}, {high}, 2), array())"
+        cut = cut.withColumn("shift", F.explode(F.expr(moves))).drop("room")
     else:
         cut = cut.withColumn("shift", F.lit(0))
     left = "named_struct('at', part.at, 'len', start + shift, 'span', start, 'edits', piece)"

@@ -9,6 +9,7 @@ from playledger.functions.similarity import weighted_similarity
 from playledger.functions.text import match_text, normalize_title, search_text
 from playledger.operators.blocking import MAX_BLOCK, near_pairs
 from playledger.operators.validate import require_unique
+from playledger.session import ensure_checkpoint_dir
 
 CATALOGUE_CUTOFF = 96
 SEARCH_CUTOFF = 90
@@ -35,17 +36,21 @@ def best_matches(
     partial part cannot pass 90. The highest rounded score wins, then the lowest `pos`.
 
     Copies are folded before anything is compared, and a query with an equal candidate needs
-    no comparison at all.
+    no comparison at all. Both folded sides are read several times below, so they are written
+    once to the checkpoint folder.
     """
+    ensure_checkpoint_dir(queries.sparkSession)
     asked = (
         queries.select("query").distinct().withColumn("text", match_text(F.col("query")))
     ).where("text <> ''")
+    asked = asked.checkpoint()
     texts = asked.select("text").distinct()
     offered = (
         candidates.select("match_id", "pos", match_text(F.col("text")).alias("text"))
         .where("text <> ''")
         .groupBy("text")
         .agg(F.min(F.struct("pos", "match_id")).alias("first"))
+        .checkpoint()
     )
     equal = texts.join(offered, "text").select("text", "first", F.lit(100).alias("score"))
     settled = equal.where(F.length("text") <= _EQUAL_IS_BEST).select("text")

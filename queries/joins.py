@@ -83,17 +83,20 @@ CLEAN_SQL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(rege
     offered AS (SELECT id, title, lang,
         lower(trim(regexp_replace(title || ' ' || lang, '[^\p{{L}}\p{{N}}_]', ' ', 'g'))) AS c FROM catalogue),
     pairs AS (SELECT q, id, c, length(q) + length(c) AS total FROM (SELECT DISTINCT q FROM asked) JOIN offered
-        ON q <> '' AND c <> '' AND 200 * abs(length(q) - length(c)) <= 9 * (length(q) + length(c))),
+        ON q <> '' AND c <> '' AND 200 * abs(length(q) - length(c)) <= 9 * (length(q) + length(c))
+        -- counted in bytes, of which a character has at most four
+        AND 50 * levenshtein(q, c) <= 9 * (length(q) + length(c))),
     lcs AS (SELECT q, id, total, list_last(list_reduce(
-          [[0 FOR x IN range(0, length(c) + 1)]] || [[ascii(q[i:i])] FOR i IN range(1, length(q) + 1)],
-          (row, ch) -> list_reduce([[0]] || [[j] FOR j IN range(1, length(c) + 1)],
-             (acc, j) -> acc || [CASE WHEN unicode(c[j[1]:j[1]]) = ch[1] THEN row[j[1]] + 1
+          [[0::BIGINT FOR x IN range(0, length(c) + 1)]]
+            || [[unicode(q[i:i])::BIGINT] FOR i IN range(1, length(q) + 1)],
+          lambda row, ch: list_reduce([[0::BIGINT]] || [[j] FOR j IN range(1, length(c) + 1)],
+             lambda acc, j: acc || [CASE WHEN unicode(c[j[1]:j[1]]) = ch[1] THEN row[j[1]] + 1
                                       ELSE greatest(row[j[1] + 1], acc[-1]) END]))) AS common FROM pairs),
     scored AS (SELECT q, id, (200 * 2 * common + total) // (2 * total) AS sim FROM lcs),
     best AS (SELECT q, id, sim FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, id) AS rk
         FROM scored WHERE sim >= 96) WHERE rk = 1)
     SELECT song, artist, best.id AS g_id, title AS g_title, lang AS g_artist, CAST(sim AS INTEGER) AS match_score
-    FROM best JOIN asked USING (q) JOIN offered ON best.id = offered.id""".replace("ascii(", "unicode("),
+    FROM best JOIN asked USING (q) JOIN offered ON best.id = offered.id""",
 )
 def songs_matched_to_catalogue(read):
     return matching.match_to_catalogue(edited_songs(read), title_catalogue(read))

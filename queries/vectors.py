@@ -38,9 +38,9 @@ def label_means(read):
 
 
 NEAREST_SQL = """positions AS (SELECT label AS cluster, unnest(embedding)::DOUBLE AS value,
-      generate_subscripts(embedding, 1) AS at FROM embeddings),
-    means AS (SELECT cluster, at, avg(value) AS mean FROM positions GROUP BY ALL),
-    centroids AS (SELECT cluster, list(mean ORDER BY at) AS centroid FROM means GROUP BY cluster),
+      generate_subscripts(embedding, 1) AS pos FROM embeddings),
+    means AS (SELECT cluster, pos, avg(value) AS mean FROM positions GROUP BY ALL),
+    centroids AS (SELECT cluster, list(mean ORDER BY pos) AS centroid FROM means GROUP BY cluster),
     assigned AS (SELECT vec_id AS id, CAST(arg_min(cluster, list_distance(embedding::DOUBLE[], centroid)) AS BIGINT) AS cluster
       FROM embeddings, centroids GROUP BY vec_id)"""
 

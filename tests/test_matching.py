@@ -73,7 +73,7 @@ def crowd(rng, n):
     return [f"untitled recording {rng.randrange(10**6):06d} by the very same artist" for _ in range(n)]
 
 
-@pytest.mark.parametrize("max_block", [25, 500])
+@pytest.mark.parametrize("max_block", [10, 500])
 def test_best_matches_equals_brute_force(spark, max_block):
     rng = random.Random(11)
     words = ["love", "night", "blue", "river", "dance", "the", "a", "fire", "golden", "rain"]
