@@ -12,19 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine-wide row per character of `b`."""
-    if a == b:
-        return len(a)
+def _places(text: str) -> dict[str, int]:
+    """Bit set of the positions of every character."""
     places: dict[str, int] = {}
-    for position, char in enumerate(a):
+    for position, char in enumerate(text):
         places[char] = places.get(char, 0) | (1 << position)
-    full = (1 << len(a)) - 1
+    return places
+
+
+def _common(places: dict[str, int], length: int, other: str) -> int:
+    full = (1 << length) - 1
     row = full
-    for char in b:
+    for char in other:
         hits = row & places.get(char, 0)
         row = ((row + hits) | (row - hits)) & full
-    return len(a) - row.bit_count()
+    return length - row.bit_count()
+
+
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one machine-wide row per character of `b`."""
+    return len(a) if a == b else _common(_places(a), len(a), b)
 
 
 def distance(a: str, b: str) -> int:
@@ -40,18 +47,41 @@ def ratio(a: str, b: str) -> float:
     return _share(distance(a, b), len(a) + len(b))
 
 
+def _best_stretch(short: str, long: str) -> float:
+    """Best ratio of `short` against the stretches of `long` of its length or cut at an edge.
+
+    Moving a stretch by one changes its common length by one at most, so stretches that cannot
+    reach the best one so far are passed over.
+    """
+    width, places = len(short), _places(short)
+    last = len(long) - width
+    most, start, at_edge = 0, 0, {}
+    while start <= last:
+        common = _common(places, width, long[start : start + width])
+        at_edge[start] = common
+        most = max(most, common)
+        start += most - common + 1
+    best = _share(2 * (width - most), 2 * width)
+    first = at_edge[0]
+    for size in range(width - 1, 0, -1):
+        if _share(size + width - 2 * min(size, first), size + width) > best:
+            common = _common(places, width, long[:size])
+            best = max(best, _share(size + width - 2 * common, size + width))
+        if _share(width - size, size + width) > best:
+            common = _common(places, width, long[-size:])
+            best = max(best, _share(size + width - 2 * common, size + width))
+    return best
+
+
 def partial_ratio(a: str, b: str) -> float:
     """Best ratio of the shorter text against any same-length (or edge) stretch of the longer."""
     if not a or not b:
         return 100.0 if a == b else 0.0
     short, long = (a, b) if len(a) <= len(b) else (b, a)
-    width = len(short)
-    best = max(
-        ratio(short, long[max(0, end - width) : end]) for end in range(1, len(long) + width)
-    )
-    if len(a) == len(b) and best < 100:
-        best = max(best, *(ratio(long, short[max(0, e - width) : e]) for e in range(1, 2 * width)))
-    return best
+    if short in long:
+        return 100.0
+    best = _best_stretch(short, long)
+    return max(best, _best_stretch(long, short)) if len(a) == len(b) else best
 
 
 def _words(words) -> str:
@@ -97,9 +127,11 @@ def weighted_ratio(a: str, b: str) -> float:
     if proportion < 1.5:
         return max(best, token_ratio(a, b) * 0.95)
     scale = 0.9 if proportion <= 8 else 0.6
-    return max(
-        best, partial_ratio(a, b) * scale, partial_token_ratio(a, b) * 0.95 * scale
-    )
+    if best < 100 * scale:
+        best = max(best, partial_ratio(a, b) * scale)
+    if best < 95 * scale:
+        best = max(best, partial_token_ratio(a, b) * 0.95 * scale)
+    return best
 
 
 @F.arrow_udf(T.IntegerType())

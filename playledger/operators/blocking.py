@@ -186,8 +186,9 @@ def near_pairs(
     while True:
         asked, offered = _split(asked, shifted=True), _split(offered, shifted=False)
         sizes = offered.where(_can_split()).groupBy("block").agg(F.count(F.lit(1)).alias("rows"))
-        crowded = sizes.where(F.col("rows") > max_block).select("block")
-        crowded = crowded.checkpoint()
+        probed = asked.where(_can_split()).select("block").distinct()
+        crowded = sizes.where(F.col("rows") > max_block).join(probed, "block", "left_semi")
+        crowded = crowded.select("block").checkpoint()
         last = crowded.isEmpty()
         ready = offered
         if not last:

@@ -35,7 +35,7 @@ def raw_plays(read):
         F.struct(F.when(F.col("event_type") == "view", "true").alias("nowplaying")).alias("@attr"),
     )
     page = F.to_json(F.struct(F.struct(F.array(track).alias("track")).alias("recenttracks")))
-    pages = read("events").select(page.alias("body")).select(F.from_json("body", PLAY_PAGE).alias("p"))
+    pages = read.spread("events", "ts", "user_id", "event_type", "props").select(page.alias("body")).select(F.from_json("body", PLAY_PAGE).alias("p"))
     return explode_play_pages(pages.select("p.*"))
 
 
@@ -116,10 +116,10 @@ def last_week(plays):
 )
 def last_week_merged(read):
     """The history after its last complete week was delivered again with corrected titles."""
-    plays = history(read)
-    weekly = plays.withColumn("week", week_start(F.col("dt")))
+    # Written once, as a load stages what it merges: it is read as target and as delivery.
+    weekly = history(read).withColumn("week", week_start(F.col("dt"))).checkpoint()
     target = dedupe(weekly, KEYS, ORDER)
-    again = weekly.where(F.col("week") == last_week(plays))
+    again = weekly.where(F.col("week") == last_week(weekly))
     incoming = dedupe(again, KEYS, ORDER).withColumn("song", F.upper("song"))
     merged = shown(upsert(target, incoming, KEYS))
     return merged.withColumn("week", F.col("week").cast("string"))

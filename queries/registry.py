@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from playledger.session import ensure_checkpoint_dir, use_utc
+from playledger.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -18,17 +19,31 @@ class Query:
     sql: str | None
 
 
+@dataclass(frozen=True)
+class Tables:
+    """The given tables: `read(name)` scans one, `read.spread(name, ...)` spreads costly work."""
+
+    spark: SparkSession
+    sf_dir: str
+
+    def __call__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        return spread(self(name).select(*columns))
+
+
 REGISTRY: dict[str, Query] = {}
 
 
 def query(covers: str, sql: str | None = None):
-    """Registers a function `(read) -> DataFrame`; `read(name)` is one of the given tables."""
+    """Registers a function `(read) -> DataFrame`; `read` gives the tables."""
 
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
             ensure_checkpoint_dir(spark, "/tmp/playledger-checkpoints")
-            return function(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+            return function(Tables(spark, sf_dir))
 
         name = function.__name__
         REGISTRY[name] = Query(name, tuple(covers.split()), run, sql)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -74,12 +74,12 @@ def refitted_clusters(read):
 
 
 GROUPS = {"OPN": "aeiou", "CON": "bcdfg", "EXT": "hjklm", "AGR": "npqrs", "NEU": "tvwxyz"}
-_OTHERS = [re.compile(f"[^{letters}]") for letters in GROUPS.values()]
 
 
 def letter_counts(texts: list[str]) -> list[list[float]]:
     """A deterministic stand-in for the trait model: letters of each group in a text."""
-    return [[float(len(other.sub("", text))) for other in _OTHERS] for text in texts]
+    seen = (Counter(text) for text in texts)
+    return [[float(sum(n[c] for c in letters)) for letters in GROUPS.values()] for n in seen]
 
 
 def counted(letters: str, name: str) -> str:
@@ -91,13 +91,13 @@ def counted(letters: str, name: str) -> str:
     "SELECT doc_id AS id, " + ", ".join(counted(v, k) for k, v in GROUPS.items()) + " FROM documents",
 )
 def trait_scores(read):
-    texts = read("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    texts = read.spread("documents", "doc_id", "text").toDF("id", "content")
     return score_traits(texts, letter_counts)
 
 
 @query("M9 F8", "SELECT doc_id AS id, " + ", ".join(counted(v, k) for k, v in GROUPS.items()) + " FROM documents")
 def inline_embeddings(read):
-    texts = read("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    texts = read.spread("documents", "doc_id", "text").toDF("id", "content")
     vectors = embed_inline(texts, letter_counts, dim=len(GROUPS))
     return vectors.select("id", *(F.col("embedding")[i].alias(k) for i, k in enumerate(GROUPS)))
 
