@@ -65,8 +65,11 @@ def nfc(text: Column) -> Column:
 
 
 def drop_first(text: Column, pattern: str) -> Column:
-    """Delete only the first match of `pattern`; `.` stops at newline characters alone."""
-    return F.regexp_replace(text, r"(?d)\A([\s\S]*?)" + pattern, "$1")
+    """Delete only the first match of `pattern`; `.` stops at newline characters alone.
+
+    The match takes the rest of the text with it and gives it back, so there is no second one.
+    """
+    return F.regexp_replace(text, "(?d)" + pattern + r"([\s\S]*)\z", "$1")
 
 
 def normalize_title(title: Column) -> Column:
