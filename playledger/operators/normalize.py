@@ -99,7 +99,8 @@ def _children(parents: DataFrame, table: str, lists) -> dict[str, DataFrame]:
 def merge_children(target: DataFrame, incoming: DataFrame, roots: DataFrame) -> DataFrame:
     """Child rows follow their root: those of the rewritten roots are replaced as a whole."""
     rewritten = roots.select(F.col(ROW_ID).alias(ROOT_ID))
-    return new_keys(target, rewritten, [ROOT_ID]).unionByName(incoming, allowMissingColumns=True)
+    kept = new_keys(target, rewritten, [ROOT_ID], unique=True)
+    return kept.unionByName(incoming, allowMissingColumns=True)
 
 
 def merge_normalized(

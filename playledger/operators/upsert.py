@@ -34,9 +34,16 @@ def dedupe(
     return df.dropDuplicates(list(keys))
 
 
-def new_keys(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `df` whose key is absent from `known`; a null key is never known."""
-    return df.join(known.select(*keys), list(keys), "left_anti")
+def new_keys(
+    df: DataFrame, known: DataFrame, keys: Sequence[str], unique: bool = False
+) -> DataFrame:
+    """Rows of `df` whose key is absent from `known`; a null key is never known.
+
+    The known keys are made distinct first, which folds a hot key within each map task, unless
+    the caller knows them to be `unique`.
+    """
+    seen = known.select(*keys)
+    return df.join(seen if unique else seen.distinct(), list(keys), "left_anti")
 
 
 def upsert(
@@ -79,7 +86,7 @@ def merge_with_actions(
         F.when(matched, F.col("_new")).otherwise(F.col(value)).alias(value),
         F.when(matched, F.lit(UPDATE)).otherwise(F.lit(KEEP)).alias("merge_action"),
     )
-    inserted = new_keys(fresh, target, [key]).withColumn("merge_action", F.lit(INSERT))
+    inserted = new_keys(fresh, target, [key], unique=True).withColumn("merge_action", F.lit(INSERT))
     return existing.unionByName(inserted)
 
 

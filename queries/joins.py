@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playledger.functions.text import search_text
+from playledger.functions.text import normalize_title, search_text
 from playledger.operators import matching
 from playledger.operators.upsert import new_keys
 from queries.registry import query
@@ -104,7 +104,7 @@ def songs_matched_to_catalogue(read):
 
 def title_hits(read):
     """Five hits for every edited title: itself, its halves, itself reversed, and its page's url."""
-    title, other = F.col("title"), F.lit("")
+    title = F.col("title")
     half = (F.length(title) / 2).cast("int")
     candidates = F.array(
         title,
@@ -113,16 +113,20 @@ def title_hits(read):
         F.concat(title, F.lit(" "), title),
         F.col("url"),
     )
-    songs = page_titles(read).select(
+    song, artist = F.concat(title, F.lit(" (Live)")), F.col("lang")
+    hits = page_titles(read).select(
         "page_id",
-        F.concat(title, F.lit(" (Live)")).alias("song"),
-        F.col("lang").alias("artist"),
+        song.alias("song"),
+        artist.alias("artist"),
+        search_text(normalize_title(song), artist).alias("searchtext"),
         F.posexplode(candidates).alias("pos", "g_title"),
     )
-    return matching.with_search_text(songs.select("song", "artist").distinct()).join(
-        songs, ["song", "artist"]
-    ).select(
-        "song", "artist", "searchtext", "g_title", F.col("artist").alias("g_primary_artist_names"),
+    return hits.select(
+        "song",
+        "artist",
+        "searchtext",
+        "g_title",
+        F.col("artist").alias("g_primary_artist_names"),
         F.when(F.length("g_title") > 0, F.col("page_id") * 5 + F.col("pos")).alias("g_id"),
         F.struct("page_id", "pos").alias("place"),
     )
