@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +23,16 @@ def fixed_width(vector: Column, dim: int) -> Column:
 def nearest(vector: Column, centers: np.ndarray, labels: np.ndarray) -> Column:
     """Label of the nearest center by squared Euclidean distance; ties go to the first center.
 
-    The few centers travel in the function itself, so assignment needs no shuffle.
+    The few centers travel in the function itself, so assignment needs no shuffle. A vector of
+    another width fails the job; a null one has no label.
     """
     dim = centers.shape[1]
 
     @F.arrow_udf(T.LongType())
     def assign(vectors: pa.Array) -> pa.Array:
+        widths = pc.unique(pc.list_value_length(vectors)).drop_null().to_pylist()
+        if widths not in ([], [dim]):
+            raise ValueError(f"expected {dim} values, got {widths}")
         known = vectors.is_valid().to_numpy(zero_copy_only=False)
         flat = vectors.flatten().to_numpy(zero_copy_only=False)
         points = flat.reshape(-1, dim)
@@ -43,4 +48,4 @@ def nearest(vector: Column, centers: np.ndarray, labels: np.ndarray) -> Column:
         result[known] = labels[best]
         return pa.array(result, mask=~known)
 
-    return assign(fixed_width(vector, dim))
+    return assign(vector.cast("array<double>"))

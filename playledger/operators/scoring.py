@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playledger.functions.vectors import fixed_width
-from playledger.operators.validate import required
 from playledger.schemas import EMBEDDING_DIM, TRAITS
 
 REQUEST_ROWS = 8
@@ -36,20 +35,21 @@ def slices(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]
 
 
 def _called(texts: DataFrame, scorer: Scorer, request_rows: int) -> DataFrame:
-    """(id, scores) of (id, content); null contents fail the job before they are sent."""
-    content = required(F.col("content"), "Null batch inputs detected")
-    checked = texts.select(F.col("id"), content.alias("content"))
-    id_type = checked.schema["id"].dataType.simpleString()
+    """(id, scores) of (id, content); a null content fails the job before it is sent."""
+    inputs = texts.select("id", "content")
+    id_type = inputs.schema["id"].dataType.simpleString()
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in slices(batches, request_rows):
+            if part["content"].isna().any():
+                raise ValueError("Null batch inputs detected")
             scores = scorer(part["content"].tolist())
             if len(scores) != len(part):
                 raise ValueError(f"{len(part)} texts sent, {len(scores)} answers received")
             values = [[float(value) for value in row] for row in scores]
             yield pd.DataFrame({"id": part["id"].to_numpy(), "scores": values})
 
-    return checked.mapInPandas(call, f"id {id_type}, scores array<double>")
+    return inputs.mapInPandas(call, f"id {id_type}, scores array<double>")
 
 
 def score_traits(
