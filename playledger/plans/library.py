@@ -25,10 +25,10 @@ SONG_STATE = "id bigint, full_title string, lyrics_state string"
 
 def _store_songs(queue: DataFrame, responses: DataFrame, table: str) -> dict[str, int]:
     """Answers to a queue of song ids, from `responses(id, seq, status, body)`."""
-    parsed = responses.select(
-        "id", "seq", "status", F.from_json("body", schemas.SONG).alias("song")
-    )
-    found = song_records(answer(queue.distinct(), parsed, ["id"]))
+    # Parsed behind the join, so only the answers to the queue are.
+    answers = answer(queue.distinct(), responses, ["id"])
+    parsed = answers.select("seq", "status", F.from_json("body", schemas.SONG).alias("song"))
+    found = song_records(parsed)
     # Staged once, as every child table reads it.
     songs, _ = staged(dedupe(found, ["id"]))
     return merge_nested(normalize(songs, table, ["id"]), table, ["id"])

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from playledger.operators.normalize import merge_normalized
 from playledger.operators.upsert import action_counts, dedupe, merge_with_actions, upsert
 from playledger.operators.validate import require_unique
 from playledger.session import ensure_checkpoint_dir
+from playledger.sources.tables import finish_swap
 
 MAX_PARTITIONS_PER_MERGE = 10_000
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -47,13 +48,6 @@ def append(df: DataFrame, table: str) -> int:
     return _write(df, table, "append")
 
 
-def finish_swap(spark: SparkSession, table: str) -> None:
-    """Completes a swap that a driver failure left between its drop and its rename."""
-    fresh = f"{table}__next"
-    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(fresh):
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-
-
 def replace(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
     """The whole table anew: written next to the old one, then swapped in."""
     spark = df.sparkSession

@@ -20,8 +20,16 @@ def read_table(spark: SparkSession, table: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
+def finish_swap(spark: SparkSession, table: str) -> None:
+    """Completes a replacement that a driver failure left between its drop and its rename."""
+    fresh = f"{table}__next"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(fresh):
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
+
 def table_or_empty(spark: SparkSession, table: str, schema: str) -> DataFrame:
     """The table, or an empty frame of its schema before the first write."""
+    finish_swap(spark, table)
     if spark.catalog.tableExists(table):
         return spark.table(table)
     return spark.createDataFrame([], schema)

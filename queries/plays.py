@@ -125,6 +125,16 @@ def last_week_merged(read):
     return merged.withColumn("week", F.col("week").cast("string"))
 
 
+@query(
+    "T3",
+    f"""WITH {RAW_SQL} SELECT song, artist, url, played FROM plays WHERE {WEEK_SQL} = ({LAST_WEEK_SQL})""",
+)
+def last_week_plays(read):
+    plays = history(read)
+    week = plays.where(week_start(F.col("dt")) == last_week(plays))
+    return shown(week.select("song", "artist", "url", "dt"))
+
+
 def recent_plays(read):
     """Every line item as a play with one or two artists and an album."""
     artist = F.struct(F.col("l_suppkey").cast("string").alias("id"), F.concat(F.lit("supplier "), "l_suppkey").alias("name"))

@@ -20,7 +20,7 @@ class Query:
 
 
 @dataclass(frozen=True)
-class Tables:
+class Given:
     """The given tables: `read(name)` scans one, `read.spread(name, ...)` spreads costly work."""
 
     spark: SparkSession
@@ -43,7 +43,7 @@ def query(covers: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
             ensure_checkpoint_dir(spark, "/tmp/playledger-checkpoints")
-            return function(Tables(spark, sf_dir))
+            return function(Given(spark, sf_dir))
 
         name = function.__name__
         REGISTRY[name] = Query(name, tuple(covers.split()), run, sql)

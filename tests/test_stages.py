@@ -168,3 +168,18 @@ def test_sources(spark, tables, scratch):
     assert rows(sources.read_catalogue(spark, files[1])) == [(1, "a", "x", "a x")]
     sources.read_catalogue(spark, files[0]).write.saveAsTable(tables.lyrics)
     assert sources.read_table(spark, tables.lyrics, ["title"]).columns == ["title"]
+
+
+def test_hot_keys_stay_whole(spark):
+    """A third of all rows under one key: queues and merges still give every row."""
+    from playledger.operators.queues import searches_not_matched
+    from playledger.operators.upsert import upsert
+
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    many = spark.range(30_000).select(hot.alias("song"), F.lit("x").alias("artist"), "id")
+    known = many.where("song = 0 OR song > 15000").select("song", "artist")
+    expected = many.where("song <> 0 AND song <= 15000").count()
+    assert searches_not_matched(many, known).count() == expected
+    merged = upsert(many.dropDuplicates(["song"]), many, ["song"], order=[F.desc("id")])
+    assert merged.count() == 20_001
+    assert merged.where("song = 0").first()["id"] == 29_997
