@@ -59,7 +59,7 @@ def signatures(value: np.ndarray, weight: np.ndarray, owner: np.ndarray, n_texts
     turn = 0
     while len(active):
         turn += 1
-        bits = mix(draw[active] + np.uint64(turn) * _GOLD)
+        bits = mix(draw[active] + np.uint64(turn * int(_GOLD) % 2**64))
         time[active] -= np.log(((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52) / weight[active]
         live = time[active] < latest[owner[active]]
         active, bits = active[live], bits[live]
