@@ -14,7 +14,9 @@ SHINGLE = 5
 REGISTERS = 100
 BANDS = 20
 LEAST = 0.8
-FIRST_PIVOTS = 8
+WHOLE_BUCKET = 16
+FIRST_PIVOTS = 4
+MORE_PIVOTS = 8
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,10 +125,10 @@ def _signed(docs: DataFrame) -> DataFrame:
             value, weight, owner = shingles(data, edges)
             found = bands(signatures(value, weight, owner, n)).view(np.int64)
             cuts = pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32))
-            columns = [rows.column(0), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(cuts, pa.array(found.reshape(-1)))]
-            yield pa.record_batch(columns, ["doc_id", "node", "bands"])
+            signature = pa.ListArray.from_arrays(cuts, pa.array(found.reshape(-1)))
+            yield pa.record_batch([rows.column(0), rows.column(1), pa.array(keys, pa.binary()), signature], ["doc_id", "text", "node", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node binary, bands array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, text string, node binary, bands array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -177,18 +179,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_links(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Labels (node, label) of the components that verified pairs of one bucket connect.
+def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataFrame]:
+    """Verified links (a, b) that connect what all verified pairs of equal buckets connect.
 
-    `members(bucket, node, size)`. In every round each bucket picks some members as pivots, by a hash of the
-    node, doubling their number; every member with another label is compared with them, and
-    pivots then leave. A pair that shares a bucket is so either compared or already connected
-    when it would be: no link is lost, and a large group of copies costs a few pairs per member.
+    `members(bucket, node, size, label)`, labels being the nodes. In every round each bucket picks some
+    members as pivots by a hash of the node (all, in a small bucket), MORE_PIVOTS times as many as in the
+    round before; every member with another label is compared with them, and pivots then leave.
+    Members with one label are known to be connected: they have a link to the same node. So a
+    pair that shares a bucket is compared or already connected: no link is lost, and a large
+    group of copies costs a few pairs per member.
     """
-    labels, turn = None, 0
+    found_all, turn = [], 0
     while True:
-        share = F.greatest(F.lit(1), F.floor(F.col("size") / (FIRST_PIVOTS << turn)))
-        # twice the pivots in the next round, so the last round takes all
+        pivots_now = FIRST_PIVOTS * MORE_PIVOTS**turn
+        share = F.when(F.col("size") <= WHOLE_BUCKET, 1).otherwise(F.greatest(F.lit(1), F.floor(F.col("size") / pivots_now)))
         live = members.withColumn("pivot", F.pmod(F.xxhash64(F.lit(turn), "node"), share) == 0)
         pivots = live.filter("pivot").select(F.col("bucket").alias("of"), F.col("node").alias("a"), F.col("label").alias("label_a"))
         pairs = (
@@ -199,33 +203,29 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             .distinct()
         )
         found = written(verified(pairs, texts, least))
-        if not found.isEmpty():
-            named = found if labels is None else _renamed(found, labels)
-            merged = components(named)
-            if labels is None:
-                labels = merged
-            else:
-                newer = merged.select(F.col("node").alias("label"), F.col("label").alias("up"))
-                kept = labels.join(newer, "label", "left").select("node", F.coalesce("up", "label").alias("label"))
-                fresh = merged.join(labels.select("node"), "node", "left_anti")
-                labels = written(kept.unionByName(fresh))
+        found_all.append(found)
         rest = live.filter(~F.col("pivot")).drop("pivot")
-        if labels is not None:
-            own = labels.select(F.col("node").alias("__node"), F.col("label").alias("up"))
-            rest = rest.join(own, F.col("node") == F.col("__node"), "left").withColumn("label", F.coalesce("up", "label")).drop("__node", "up")
-        rest = written(rest)
+        if rest.isEmpty():
+            return found_all
+        near = found.groupBy(F.col("b").alias("linked")).agg(F.min("a").alias("low"))
+        rest = rest.join(near, F.col("node") == F.col("linked"), "left")
+        # the label of a round is the first pivot reached; before it, the node or an earlier pivot
+        rest = written(rest.withColumn("label", F.coalesce("low", "label")).drop("low", "linked"))
         several = rest.groupBy(F.col("bucket").alias("of")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
         members = written(rest.join(several.select("of"), F.col("bucket") == F.col("of")).drop("of"))
         if members.isEmpty():
-            return labels
+            return found_all
         turn += 1
 
 
-def _renamed(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    for side in ("a", "b"):
-        own = labels.select(F.col("node").alias("__node"), F.col("label").alias("__label"))
-        pairs = pairs.join(own, F.col(side) == F.col("__node"), "left").withColumn(side, F.coalesce("__label", side)).drop("__node", "__label")
-    return pairs.filter("a != b").distinct()
+def joined_links(links: list[DataFrame]) -> DataFrame:
+    """Fewer links that connect the same: each node to the least one it is linked to, and those to each other."""
+    every = links[0]
+    for more in links[1:]:
+        every = every.unionByName(more)
+    low = every.groupBy("b").agg(F.min("a").alias("low"))
+    between = every.join(low.withColumnRenamed("b", "of"), F.col("b") == F.col("of")).filter("a != low")
+    return low.select(F.col("low").alias("a"), "b").unionByName(between.select(F.col("low").alias("a"), F.col("a").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -241,23 +241,21 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     signed = written(_signed(docs))
     alone = signed.filter("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     worded = signed.filter("node is not null")
-    nodes = worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"))
-    # one row of each exact text stands for all: any will do, their bands are the same
-    slim = worded.select("node", F.posexplode("bands").alias("band", "value")).distinct()
-    bucketed = slim.select(F.xxhash64("band", "value").alias("bucket"), "node")
+    # any row of an exact text stands for all: their bands are the same
+    nodes = written(
+        worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
+    )
+    bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
     sizes = bucketed.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(bucketed.join(sizes, F.col("bucket") == F.col("of")).select("bucket", "node", "size", F.col("node").alias("label")))
-    nodes = written(nodes)
-    labels = None
+    named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
     if not members.isEmpty():
-        wanted = members.select("node").distinct().join(nodes.select("node", "least_id"), "node")
-        source = docs.select("doc_id", "text").join(wanted.select(F.col("least_id").alias("doc_id"), "node"), "doc_id")
-        texts = written(source.dropDuplicates(["node"]).select("node", "text"))
-        labels = near_links(members, texts, least)
-    if labels is not None:
-        named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        named = nodes.withColumn("label", F.col("node"))
+        wanted = members.select(F.col("node").alias("of")).distinct()
+        texts = worded.select("node", "text").join(wanted, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
+        links = written(joined_links(near_links(members, written(texts), least)))
+        if not links.isEmpty():
+            labels = components(links).select(F.col("node").alias("of"), F.col("label").alias("up"))
+            named = named.join(labels, F.col("node") == F.col("of"), "left").withColumn("label", F.coalesce("up", "label")).drop("of", "up")
     named = written(named)
     classes = named.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("class_id"), F.sum("rows").alias("class_size"))
     by_node = named.join(classes, F.col("label") == F.col("of")).select(F.col("node").alias("of_node"), "class_id", "class_size")
