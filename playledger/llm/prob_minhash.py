@@ -132,13 +132,13 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts have a probability Jaccard of `least` or more."""
+    """The labels of those `pairs(a, b, label_a, label_b)` whose texts have a probability Jaccard of `least` or more."""
     named = texts.select(F.col("node").alias("__node"), "text")
     both = (
         pairs.join(named.withColumnRenamed("text", "text_b"), F.col("b") == F.col("__node"))
         .drop("__node")
         .join(named.withColumnRenamed("text", "text_a"), F.col("a") == F.col("__node"))
-        .select("a", "b", "text_a", "text_b")
+        .select("label_a", "label_b", "text_a", "text_b")
     )
 
     def check(batches):
@@ -153,9 +153,9 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                     i = len(close)
                     p, q = slice(at_a[i], at_a[i + 1]), slice(at_b[k], at_b[k + 1])
                     close.append(similarity((values[0][p], values[1][p]), (found[0][q], found[1][q])) >= least)
-            yield rows.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+            yield rows.select(["label_a", "label_b"]).filter(pa.array(close, pa.bool_()))
 
-    return both.mapInArrow(check, "a binary, b binary")
+    return both.mapInArrow(check, "label_a binary, label_b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -180,52 +180,70 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataFrame]:
-    """Verified links (a, b) that connect what all verified pairs of equal buckets connect.
-
-    `members(bucket, node, size, label)`, labels being the nodes. In every round each bucket picks some
-    members as pivots by a hash of the node (all, in a small bucket), MORE_PIVOTS times as many as in the
-    round before; every member with another label is compared with them, and pivots then leave.
-    Members with one label are known to be connected: they have a link to the same node. So a
-    pair that shares a bucket is compared or already connected: no link is lost, and a large
-    group of copies costs a few pairs per member.
+    """Maps (old, new) of labels, to be applied in turn, that merge what verified pairs connect.
+
+    `members(bucket, node, size, label)`, labels being the nodes. In every round each bucket picks as
+    pivots the members whose hash is below a threshold, so that the buckets of one group pick the same ones
+    (all, in a small bucket), MORE_PIVOTS times as many as in the round before; every member with another
+    label is compared with them, and pivots then leave. So a pair that shares a bucket is compared
+    or already connected: no link is lost, and a large group of copies costs a few pairs per member.
     """
-    found_all, turn = [], 0
+    maps, turn = [], 0
+    chance = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40)) / float(1 << 40)
     while True:
-        pivots_now = FIRST_PIVOTS * MORE_PIVOTS**turn
-        share = F.when(F.col("size") <= WHOLE_BUCKET, 1).otherwise(F.greatest(F.lit(1), F.floor(F.col("size") / pivots_now)))
-        live = members.withColumn("pivot", F.pmod(F.xxhash64(F.lit(turn), "node"), share) == 0)
+        few = F.lit(float(FIRST_PIVOTS * MORE_PIVOTS**turn)) / F.col("size")
+        live = members.withColumn("pivot", (F.col("size") <= WHOLE_BUCKET) | (chance < few))
         pivots = live.filter("pivot").select(F.col("bucket").alias("of"), F.col("node").alias("a"), F.col("label").alias("label_a"))
         pairs = (
             live.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("label_a")))
             # of two pivots one takes the other
             .filter(~F.col("pivot") | (F.col("a") < F.col("node")))
-            .select("a", F.col("node").alias("b"))
+            .select("a", F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
             .distinct()
         )
-        found = written(verified(pairs, texts, least))
-        found_all.append(found)
+        found = written(verified(pairs, texts, least).distinct())
         rest = live.filter(~F.col("pivot")).drop("pivot")
-        if rest.isEmpty():
-            return found_all
-        near = found.groupBy(F.col("b").alias("linked")).agg(F.min("a").alias("low"))
-        rest = rest.join(near, F.col("node") == F.col("linked"), "left")
-        # the label of a round is the first pivot reached; before it, the node or an earlier pivot
-        rest = written(rest.withColumn("label", F.coalesce("low", "label")).drop("low", "linked"))
+        if not found.isEmpty():
+            maps.append(merged_labels(found))
+            rest = relabelled(rest, maps[-1:])
+        rest = written(rest)
         several = rest.groupBy(F.col("bucket").alias("of")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
         members = written(rest.join(several.select("of"), F.col("bucket") == F.col("of")).drop("of"))
         if members.isEmpty():
-            return found_all
+            return maps
         turn += 1
 
 
-def joined_links(links: list[DataFrame]) -> DataFrame:
-    """Fewer links that connect the same: each node to the least one it is linked to, and those to each other."""
-    every = links[0]
-    for more in links[1:]:
-        every = every.unionByName(more)
-    low = every.groupBy("b").agg(F.min("a").alias("low"))
-    between = every.join(low.withColumnRenamed("b", "of"), F.col("b") == F.col("of")).filter("a != low")
-    return low.select(F.col("low").alias("a"), "b").unionByName(between.select(F.col("low").alias("a"), F.col("a").alias("b")).distinct())
+def merged_labels(links: DataFrame) -> DataFrame:
+    """New label of every label in `links(label_a, label_b)`: (old, new).
+
+    A member's links all lead to pivots, so the components are found among the few pivots: each
+    member takes its least one, and its others are linked to that.
+    """
+    low = written(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
+    others = links.join(low.withColumnRenamed("label_b", "of"), F.col("label_b") == F.col("of")).filter("label_a != low")
+    pivots = links.select(F.col("label_a").alias("of")).distinct()
+    chained = low.join(pivots, F.col("label_b") == F.col("of"), "left_semi")
+    core = written(
+        others.select(F.col("low").alias("a"), F.col("label_a").alias("b"))
+        .unionByName(chained.select(F.col("low").alias("a"), F.col("label_b").alias("b")))
+        .distinct()
+    )
+    mine = low.select(F.col("label_b").alias("old"), F.col("low").alias("new"))
+    if core.isEmpty():
+        return mine
+    labels = components(core)
+    mine = relabelled(mine.withColumnRenamed("new", "label"), [labels.select(F.col("node").alias("old"), F.col("label").alias("new"))])
+    roots = labels.join(low.select(F.col("label_b").alias("of")), F.col("node") == F.col("of"), "left_anti")
+    return written(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
+
+
+def relabelled(rows: DataFrame, maps: list[DataFrame]) -> DataFrame:
+    """`rows` with `label` passed through the maps; labels a map does not have stay."""
+    for step in maps:
+        own = step.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
+        rows = rows.join(own, F.col("label") == F.col("__old"), "left").withColumn("label", F.coalesce("__new", "label")).drop("__old", "__new")
+    return rows
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -252,10 +270,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("of")).distinct()
         texts = worded.select("node", "text").join(wanted, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
-        links = written(joined_links(near_links(members, written(texts), least)))
-        if not links.isEmpty():
-            labels = components(links).select(F.col("node").alias("of"), F.col("label").alias("up"))
-            named = named.join(labels, F.col("node") == F.col("of"), "left").withColumn("label", F.coalesce("up", "label")).drop("of", "up")
+        named = relabelled(named, near_links(members, written(texts), least))
     named = written(named)
     classes = named.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("class_id"), F.sum("rows").alias("class_size"))
     by_node = named.join(classes, F.col("label") == F.col("of")).select(F.col("node").alias("of_node"), "class_id", "class_size")
