@@ -19,7 +19,6 @@ from playledger.operators.validate import require_unique
 from playledger.session import ensure_checkpoint_dir
 from playledger.sources.tables import finish_swap
 
-MAX_PARTITIONS_PER_MERGE = 10_000
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -40,17 +39,35 @@ def _write(df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = (
     return seen.get["rows"]
 
 
+def _grown(df: DataFrame, table: str) -> DataFrame:
+    """`df` with the columns of the stored table, to which those it lacks are added first."""
+    spark = df.sparkSession
+    known = spark.table(table).columns
+    fresh = [f for f in df.schema.fields if f.name not in known]
+    if fresh:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    stored = spark.table(table).schema.fields
+    return df.select(
+        *(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in stored)
+    )
+
+
 def append(df: DataFrame, table: str) -> int:
-    """Adds rows as they are and returns their number; columns are matched by name."""
+    """Adds rows as they are and returns their number; columns go by name, new ones are added."""
     spark = df.sparkSession
+    finish_swap(spark, table)
+    partition_by = []
     if spark.catalog.tableExists(table):
-        df = df.select(*spark.table(table).columns)
-    return _write(df, table, "append")
+        df = _grown(df, table)
+        partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return _write(df, table, "append", partition_by)
 
 
 def replace(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
     """The whole table anew: written next to the old one, then swapped in."""
     spark = df.sparkSession
+    finish_swap(spark, table)
     fresh = f"{table}__next"
     rows = _write(df, fresh, "overwrite", partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -93,7 +110,7 @@ def merge_partitions(
     partition: str,
     order: Sequence[Column | str] | None = None,
 ) -> int:
-    """As `merge`, rewriting only the partitions the incoming rows fall in.
+    """As `merge`, rewriting only the partitions the incoming rows fall in, the null one included.
 
     `partition` must follow from the key, so that a key never moves between partitions.
     """
@@ -102,13 +119,14 @@ def merge_partitions(
     if not spark.catalog.tableExists(table):
         _write(fresh, table, "errorifexists", [partition])
         return rows
-    touched = [r[0] for r in fresh.select(partition).distinct().take(MAX_PARTITIONS_PER_MERGE + 1)]
-    if len(touched) > MAX_PARTITIONS_PER_MERGE:
-        raise ValueError(f"more than {MAX_PARTITIONS_PER_MERGE} partitions in one merge")
-    if not touched:
+    if not rows:
         return rows
+    fresh = _grown(fresh, table)
     target = spark.table(table)
-    old = target.where(F.col(partition).isin(touched))
+    touched = fresh.select(F.col(partition).alias("_touched")).distinct()
+    old = target.join(touched, F.col(partition) == F.col("_touched"), "left_semi")
+    if not fresh.where(F.col(partition).isNull()).isEmpty():
+        old = old.unionByName(target.where(F.col(partition).isNull()))
     merged, _ = staged(upsert(old, fresh, keys).select(*target.columns))
     _overwrite_partitions(merged, table)
     return rows

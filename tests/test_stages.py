@@ -183,3 +183,23 @@ def test_hot_keys_stay_whole(spark):
     merged = upsert(many.dropDuplicates(["song"]), many, ["song"], order=[F.desc("id")])
     assert merged.count() == 20_001
     assert merged.where("song = 0").first()["id"] == 29_997
+
+
+def test_undated_plays_survive_a_partition_merge(spark, database):
+    from playledger.sinks.tables import merge_partitions
+
+    schema = "url string, dt string, week string"
+    merge_partitions(spark.createDataFrame([("a", "1", None), ("b", "1", "w")], schema), f"{database}.plays", ["url"], "week")
+    more = spark.createDataFrame([("c", "2", None, "new")], schema + ", extra string")
+    assert merge_partitions(more, f"{database}.plays", ["url"], "week") == 1
+    stored = spark.table(f"{database}.plays").select("url", "extra", "week").collect()
+    assert sorted(map(tuple, stored)) == [("a", None, None), ("b", None, "w"), ("c", "new", None)]
+
+
+def test_append_finishes_a_swap_and_adds_columns(spark, database):
+    from playledger.sinks.tables import append
+
+    table = f"{database}.jobs"
+    spark.createDataFrame([("a",)], "name string").write.saveAsTable(f"{table}__next")
+    assert append(spark.createDataFrame([("b", 1)], "name string, n int"), table) == 1
+    assert sorted(map(tuple, spark.table(table).select("name", "n").collect())) == [("a", None), ("b", 1)]
