@@ -30,7 +30,10 @@ def snake_case(name: str) -> str:
 
 
 def _row_id(*parts: Column) -> Column:
-    return F.md5(F.concat_ws("/", *(part.cast("string") for part in parts)))
+    """Hash of the parts, each with its length, so that no two lists of parts run together."""
+    texts = [part.cast("string") for part in parts]
+    marked = [F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")) for text in texts]
+    return F.md5(F.concat(*marked))
 
 
 def _unfold(column: Column, kind: T.DataType, name: str):

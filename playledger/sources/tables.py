@@ -81,13 +81,3 @@ def read_database(
     """A database table over JDBC; pass `partitionColumn` and its bounds to read in parallel."""
     df = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
     return df.select(*columns) if columns else df
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan of fewer splits than the cluster has cores, dealt out over all of them.
-
-    For costly work per row on few or small files. A scan with enough splits stays as it is,
-    so large tables are never shuffled here. Pass plain scans only.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -46,8 +46,8 @@ def lines_without_small_part(read):
 def edited_songs(read):
     """Page titles as listened: one character less, one more, or a tag behind them."""
     title = F.col("title")
-    cut = F.concat(F.substring(title, 1, 8), F.substring(title, 10, 1_000_000))
-    added = F.concat(F.substring(title, 1, 12), F.lit("x"), F.substring(title, 13, 1_000_000))
+    cut = F.concat(F.substring(title, 1, 8), F.substr(title, F.lit(10)))
+    added = F.concat(F.substring(title, 1, 12), F.lit("x"), F.substr(title, F.lit(13)))
     song = (
         F.when(F.col("lang") == "en", cut)
         .when(F.col("lang") == "fr", added)

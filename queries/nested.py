@@ -90,7 +90,7 @@ def nested_documents(read):
         F.split("text", "\n"),
         lambda line: F.struct(F.md5(line).alias("digest"), F.split(line, " ").alias("words")),
     )
-    return read.spread("documents", "doc_id", "lang", "source", "text").select(
+    return read("documents").select("doc_id", "lang", "source", "text").select(
         F.col("doc_id").alias("id"),
         F.struct(F.col("lang"), F.struct(F.col("source").alias("name")).alias("origin")).alias("meta"),
         lines.alias("lines"),

@@ -35,7 +35,7 @@ def raw_plays(read):
         F.struct(F.when(F.col("event_type") == "view", "true").alias("nowplaying")).alias("@attr"),
     )
     page = F.to_json(F.struct(F.struct(F.array(track).alias("track")).alias("recenttracks")))
-    pages = read.spread("events", "ts", "user_id", "event_type", "props").select(page.alias("body")).select(F.from_json("body", PLAY_PAGE).alias("p"))
+    pages = read("events").select("ts", "user_id", "event_type", "props").select(page.alias("body")).select(F.from_json("body", PLAY_PAGE).alias("p"))
     return explode_play_pages(pages.select("p.*"))
 
 

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from playledger.session import ensure_checkpoint_dir, use_utc
-from playledger.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -21,7 +20,7 @@ class Query:
 
 @dataclass(frozen=True)
 class Given:
-    """The given tables: `read(name)` scans one, `read.spread(name, ...)` spreads costly work."""
+    """The given tables: `read(name)` scans one."""
 
     spark: SparkSession
     sf_dir: str
@@ -29,9 +28,6 @@ class Given:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, name: str, *columns: str) -> DataFrame:
-        return spread(self(name).select(*columns))
-
 
 REGISTRY: dict[str, Query] = {}
 
@@ -42,7 +38,7 @@ def query(covers: str, sql: str | None = None):
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
-            ensure_checkpoint_dir(spark, "/tmp/playledger-checkpoints")
+            ensure_checkpoint_dir(spark, f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.checkpoints")
             return function(Given(spark, sf_dir))
 
         name = function.__name__

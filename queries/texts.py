@@ -16,7 +16,7 @@ from queries.registry import query
 
 
 def page_titles(read):
-    return read.spread("pages", "page_id", "url", "html").select(
+    return read("pages").select("page_id", "url", "html").select(
         "page_id",
         "url",
         F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
@@ -70,7 +70,7 @@ def cleaned_page_titles(read):
     rf"""SELECT doc_id, md5({CLEAN_SQL.format('text')}) AS digest FROM documents""",
 )
 def cleaned_documents(read):
-    documents = read.spread("documents", "doc_id", "text")
+    documents = read("documents").select("doc_id", "text")
     return documents.select("doc_id", F.md5(normalize_title(F.col("text"))).alias("digest"))
 
 
@@ -91,7 +91,7 @@ def search_texts(read):
     FROM documents""",
 )
 def match_texts(read):
-    documents = read.spread("documents", "doc_id", "text")
+    documents = read("documents").select("doc_id", "text")
     return documents.select("doc_id", F.md5(match_text(F.col("text"))).alias("digest"))
 
 

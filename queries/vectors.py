@@ -91,13 +91,13 @@ def counted(letters: str, name: str) -> str:
     "SELECT doc_id AS id, " + ", ".join(counted(v, k) for k, v in GROUPS.items()) + " FROM documents",
 )
 def trait_scores(read):
-    texts = read.spread("documents", "doc_id", "text").toDF("id", "content")
+    texts = read("documents").select("doc_id", "text").toDF("id", "content")
     return score_traits(texts, letter_counts)
 
 
 @query("M9 F8", "SELECT doc_id AS id, " + ", ".join(counted(v, k) for k, v in GROUPS.items()) + " FROM documents")
 def inline_embeddings(read):
-    texts = read.spread("documents", "doc_id", "text").toDF("id", "content")
+    texts = read("documents").select("doc_id", "text").toDF("id", "content")
     vectors = embed_inline(texts, letter_counts, dim=len(GROUPS))
     return vectors.select("id", *(F.col("embedding")[i].alias(k) for i, k in enumerate(GROUPS)))
 
