@@ -17,7 +17,7 @@ from playledger.llm.token_ids import encode_texts
 
 UNITS = 128
 DEEPEST = 3
-SALT_ROWS = 50_000
+SALT_ROWS = 4096
 
 
 def patterns(capacity: int, sizes: list[int], deepest: int = DEEPEST) -> list[tuple[int, ...]]:
