@@ -82,10 +82,10 @@ QUERIES = {
 
 _TOPK_SQL = """
 WITH v AS (
-  SELECT DISTINCT ON (vec_id) vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS vector
+  SELECT DISTINCT ON (vec_id) vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
