@@ -206,7 +206,7 @@ def test_held_out_accuracy(spark):
 def test_language_edge_cases(spark):
     docs = awkward_docs(spark)
     model = langid.fit(docs, F.lit(True))
-    assert model.languages == ("de", "en", "es", "fr")
+    assert model.languages == ("de", "en", "es")  # no French text has a word
     found = langid.identify(docs.withColumn("score", F.lit("mine")), model)
     assert found.columns == [*docs.columns, "lang_pred", "score", "n_languages"]
     rows = {r.doc_id: r for r in found.collect()}
