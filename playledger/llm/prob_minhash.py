@@ -17,6 +17,10 @@ LEAST = 0.8
 WHOLE_BUCKET = 16
 FIRST_PIVOTS = 4
 MORE_PIVOTS = 8
+KEPT_BYTES = 64 << 20
+_ROUNDING = 1e-12
+Shingles = tuple[np.ndarray, np.ndarray, float]
+"""Hashes in ascending order, their weights, and the sum of these."""
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,22 +88,65 @@ def bands(kept: np.ndarray) -> np.ndarray:
     return value
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Probability Jaccard of two weighted sets (hashes ascending, weights)."""
-    common, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(common):
+def _common(a: Shingles, b: Shingles) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the shingles that both sets have, in a and in b."""
+    if not len(a[0]) or not len(b[0]):
+        return np.zeros(0), np.zeros(0)
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = b[0][at] == a[0]
+    return a[1][both] / a[2], b[1][at[both]] / b[2]
+
+
+def _agreement(x: np.ndarray, y: np.ndarray) -> float:
+    """Probability Jaccard from the shares of the common shingles; all other mass is on one side only."""
+    if not len(x):
         return 0.0
-    x, y = a[1][at], b[1][bt]
     ratio = x / y
     order = np.argsort(ratio, kind="stable")
     x, y, ratio = x[order], y[order], ratio[order]
-    # for a common shingle: weights of a with no smaller ratio, and of b with a smaller one
-    from_a = np.concatenate((np.cumsum(x[::-1])[::-1], [0.0])) + a[1].sum() - x.sum()
-    from_b = np.concatenate(([0.0], np.cumsum(y))) + b[1].sum() - y.sum()
+    # for a common shingle: shares of a with no smaller ratio, and of b with a smaller one
+    from_a = np.concatenate((np.cumsum(x[::-1])[::-1], [0.0])) + 1.0 - x.sum()
+    from_b = np.concatenate(([0.0], np.cumsum(y))) + 1.0 - y.sum()
     at = np.searchsorted(ratio, ratio, "left")
     return float((1.0 / (from_a[at] / x + from_b[at] / y)).sum())
 
 
+def similarity(a: Shingles, b: Shingles) -> float:
+    """Probability Jaccard of two weighted sets."""
+    return _agreement(*_common(a, b))
+
+
+def alike(a: Shingles, b: Shingles, least: float) -> bool:
+    """Whether the probability Jaccard is `least` or more.
+
+    It is at most the sum of the smaller shares, which settles most pairs that are not alike.
+    """
+    x, y = _common(a, b)
+    return float(np.minimum(x, y).sum()) >= least - _ROUNDING and _agreement(x, y) >= least - _ROUNDING
+
+
+class ShingleSets:
+    """Shingle sets by node, as a task meets them; all are forgotten once they fill KEPT_BYTES."""
+
+    def __init__(self):
+        self.known: dict[bytes, Shingles] = {}
+        self.size = 0
+
+    def of(self, nodes: list[bytes], data: np.ndarray, edges: np.ndarray) -> list[Shingles]:
+        if self.size > KEPT_BYTES:
+            self.__init__()
+        fresh = {node: i for i, node in enumerate(nodes) if node not in self.known}
+        if fresh:
+            texts = [data[edges[i] : edges[i + 1]] for i in fresh.values()]
+            value, weight, owner = shingles(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+            cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+            for node, p, q in zip(fresh, cuts[:-1].tolist(), cuts[1:].tolist()):
+                # copies: a view would hold the whole slice
+                self.known[node] = (value[p:q].copy(), weight[p:q].copy(), weight[p:q].sum())
+            self.size += 16 * len(value) + 400 * len(texts)
+        return [self.known[node] for node in nodes]
+
+
 def text_keys(data: np.ndarray, edges: np.ndarray) -> list[bytes | None]:
     """128-bit key of each text's word sequence (A-Z in lower case); none for a text without words."""
     words, owner = word_hashes(data, edges)
@@ -138,21 +185,16 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         pairs.join(named.withColumnRenamed("text", "text_b"), F.col("b") == F.col("__node"))
         .drop("__node")
         .join(named.withColumnRenamed("text", "text_a"), F.col("a") == F.col("__node"))
-        .select("label_a", "label_b", "text_a", "text_b")
+        .select("a", "b", "label_a", "label_b", "text_a", "text_b")
     )
 
     def check(batches):
+        sets = ShingleSets()
         for rows, data_a, edges_a in text_slices(batches, "text_a", 1 << 20):
-            values = shingles(data_a, edges_a)
-            n, close = rows.num_rows, []
-            at_a = np.searchsorted(values[2], np.arange(n + 1))
+            left, close = sets.of(rows.column("a").to_pylist(), data_a, edges_a), []
             for other, data_b, edges_b in text_slices(iter([rows]), "text_b", 1 << 20):
-                found = shingles(data_b, edges_b)
-                at_b = np.searchsorted(found[2], np.arange(other.num_rows + 1))
-                for k in range(other.num_rows):
-                    i = len(close)
-                    p, q = slice(at_a[i], at_a[i + 1]), slice(at_b[k], at_b[k + 1])
-                    close.append(similarity((values[0][p], values[1][p]), (found[0][q], found[1][q])) >= least)
+                right = sets.of(other.column("b").to_pylist(), data_b, edges_b)
+                close += [alike(x, y, least) for x, y in zip(left[len(close) :], right)]
             yield rows.select(["label_a", "label_b"]).filter(pa.array(close, pa.bool_()))
 
     return both.mapInArrow(check, "label_a binary, label_b binary")

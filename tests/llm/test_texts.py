@@ -39,8 +39,23 @@ def test_similarity_is_probability_jaccard():
     for _ in range(60):
         a, b = (" ".join(rng.choices("abcd", k=rng.randint(1, 50))) for _ in range(2))
         value, weight, owner = shingled(a, b)
-        sides = [(value[owner == k], weight[owner == k]) for k in range(2)]
-        assert prob_minhash.similarity(*sides) == pytest.approx(probability_jaccard(shingle_counts(a), shingle_counts(b)))
+        sides = [(value[owner == k], weight[owner == k], weight[owner == k].sum()) for k in range(2)]
+        exact = probability_jaccard(shingle_counts(a), shingle_counts(b))
+        assert prob_minhash.similarity(*sides) == pytest.approx(exact)
+        for least in (0.01, exact - 1e-6, exact + 1e-6, 0.8):
+            assert prob_minhash.alike(*sides, least) == (exact >= least)
+
+
+def test_kept_shingle_sets_are_those_of_the_texts(monkeypatch):
+    monkeypatch.setattr(prob_minhash, "KEPT_BYTES", 2000)
+    rng, sets = random.Random(11), prob_minhash.ShingleSets()
+    texts = [" ".join(rng.choices("abcdef", k=rng.randint(0, 40))) for _ in range(20)]
+    for _ in range(30):
+        picked = [rng.randrange(20) for _ in range(rng.randint(1, 6))]
+        found = sets.of([bytes([k]) for k in picked], *flat_texts(pa.array([texts[k] for k in picked])))
+        for k, (value, weight, total) in zip(picked, found):
+            alone = shingled(texts[k])
+            assert value.tolist() == alone[0].tolist() and weight.tolist() == alone[1].tolist() and total == weight.sum()
 
 
 def test_signatures_estimate_it():
