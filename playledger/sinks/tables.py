@@ -115,6 +115,7 @@ def merge_partitions(
     `partition` must follow from the key, so that a key never moves between partitions.
     """
     spark = incoming.sparkSession
+    finish_swap(spark, table)
     fresh, rows = staged(dedupe(incoming, keys, order))
     if not spark.catalog.tableExists(table):
         _write(fresh, table, "errorifexists", [partition])
@@ -150,6 +151,8 @@ def merge_nested(incoming: dict[str, DataFrame], root: str, keys: Sequence[str])
         finish_swap(spark, name)
         fresh[name], counts[name] = staged(df)
     current = {name: spark.table(name) for name in incoming if spark.catalog.tableExists(name)}
+    if len(current) == len(incoming) and not any(counts.values()):
+        return counts
     for name, df in merge_normalized(current, fresh, root, keys).items():
         replace(df, name)
     return counts

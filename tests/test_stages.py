@@ -203,3 +203,22 @@ def test_append_finishes_a_swap_and_adds_columns(spark, database):
     spark.createDataFrame([("a",)], "name string").write.saveAsTable(f"{table}__next")
     assert append(spark.createDataFrame([("b", 1)], "name string, n int"), table) == 1
     assert sorted(map(tuple, spark.table(table).select("name", "n").collect())) == [("a", None), ("b", 1)]
+
+
+def test_partition_merge_finishes_a_swap(spark, database):
+    from playledger.sinks.tables import merge_partitions
+
+    table, schema = f"{database}.swapped", "url string, dt string, week string"
+    merge_partitions(spark.createDataFrame([("a", "1", "v"), ("b", "1", "w")], schema), table, ["url"], "week")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__next")
+    merge_partitions(spark.createDataFrame([("b", "2", "w")], schema), table, ["url"], "week")
+    assert sorted(map(tuple, spark.table(table).collect())) == [("a", "1", "v"), ("b", "2", "w")]
+
+
+def test_nested_merge_of_nothing_writes_nothing(spark, database, monkeypatch):
+    root = f"{database}.nothing_in"
+    rows = spark.createDataFrame([(1, "x")], "id long, name string")
+    sinks.replace(rows, root)
+    monkeypatch.setattr(sinks, "replace", lambda *_: pytest.fail("written"))
+    assert sinks.merge_nested({root: rows.limit(0)}, root, ["id"]) == {root: 0}
+    assert spark.table(root).count() == 1
