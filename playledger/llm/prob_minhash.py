@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playledger.llm.common import small_batches, text_slices, written
@@ -16,7 +16,9 @@ BANDS = 20
 LEAST = 0.8
 WHOLE_BUCKET = 16
 FIRST_PIVOTS = 4
-MORE_PIVOTS = 8
+MORE_PIVOTS = 2
+UNITED = 8
+SALTED = 256
 KEPT_BYTES = 64 << 20
 _ROUNDING = 1e-12
 Shingles = tuple[np.ndarray, np.ndarray, float]
@@ -221,41 +223,159 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _outside(text: Shingles, union: tuple[np.ndarray, np.ndarray], least: float) -> tuple:
+    """Of a text: share of its mass in the union, the union's and its own excess weight there, its
+    whole weight, and its first shingles outside, up to the mass that a text alike may lack."""
+    value, weight = union
+    own, count, total = text
+    at = np.minimum(np.searchsorted(value, own), len(value) - 1)
+    both = value[at] == own
+    share = count[~both] / total
+    first = own[~both][np.cumsum(share) - share <= 1.0 - least + _ROUNDING]
+    inside, there = count[both], weight[at[both]]
+    return inside.sum() / total, there.sum(), np.maximum(0.0, inside - there).sum(), total, first.view(np.int64)
+
+
+def outside_pivots(rows: DataFrame, least: float) -> DataFrame:
+    """Compares members with the united shingles of their bucket's first pivots.
+
+    `rows(bucket, salt, pivot, node, label, text)`: a large bucket is dealt over salts, and its few pivots
+    are in each, sorted before the members.
+    """
+
+    def compare(batches):
+        key, parts, union = None, [], None
+        for batch, data, edges in text_slices(batches, "text", 1 << 20):
+            value, weight, owner = shingles(data, edges)
+            cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            buckets, salts, leads = (batch.column(name).to_pylist() for name in ("bucket", "salt", "pivot"))
+            kept, out = [], []
+            for i, at in enumerate(zip(buckets, salts)):
+                if at != key:
+                    key, parts, union = at, [], None
+                own = slice(cuts[i], cuts[i + 1])
+                if leads[i]:
+                    parts.append((value[own].copy(), weight[own].copy()))
+                    continue
+                if union is None:
+                    union = _united(parts)
+                kept.append(i)
+                out.append(_outside((value[own], weight[own], weight[own].sum()), union, least))
+            mine = batch.select(["bucket", "node", "label"]).take(pa.array(kept, pa.int64()))
+            columns = [pa.array([r[c] for r in out], pa.float64()) for c in range(4)]
+            first = pa.array([r[4] for r in out], pa.list_(pa.int64()))
+            yield pa.record_batch([*mine.columns, *columns, first], ["bucket", "node", "label", "inside", "met", "excess", "total", "first"])
+
+    schema = "bucket long, node binary, label binary, inside double, met double, excess double, total double, first array<bigint>"
+    dealt = rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("pivot").desc())
+    return dealt.select("bucket", "salt", "pivot", "node", "label", "text").mapInArrow(compare, schema)
+
+
+def _united(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several sets, each with its largest weight."""
+    value, weight = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((-weight, value))
+    value, weight = value[order], weight[order]
+    opens = np.concatenate(([True], value[1:] != value[:-1]))
+    return value[opens], weight[opens]
+
+
+def _reach(least_total, most_excess):
+    """1/f + 1/g of a member with the most favourable other member that shares nothing outside the pivots."""
+    other = F.least(F.lit(1.0), F.col("met") / least_total + most_excess)
+    return 1.0 / F.greatest("inside", F.lit(1e-9)) + 1.0 / F.greatest(other, F.lit(1e-9))
+
+
 def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataFrame]:
     """Maps (old, new) of labels, to be applied in turn, that merge what verified pairs connect.
 
-    `members(bucket, node, size, label)`, labels being the nodes. In every round each bucket picks as
-    pivots the members whose hash is below a threshold, so that the buckets of one group pick the same ones
-    (all, in a small bucket), MORE_PIVOTS times as many as in the round before; every member with another
-    label is compared with them, and pivots then leave. So a pair that shares a bucket is compared
-    or already connected: no link is lost, and a large group of copies costs a few pairs per member.
+    `members(bucket, node, label)`, labels being the nodes. In every round the first few members of each
+    bucket are its pivots (all, in a small bucket), every later member with another label is compared
+    with them, and pivots then leave. What is left of a bucket with several labels is split by the
+    shingles outside the pivots' union S. Two texts that are alike share one of these, and meet in
+    the bucket of the least such shingle; or they share none, then both lie mostly in S. With f and g the
+    shares of their masses that can be common, J_P <= 1 / (1/f + 1/g - 1), for which f is at most the
+    share inside S, and at most what the other text has of S, as weight, over the own weight. Members
+    that reach `least` with no other member of the bucket by this bound leave it; the rest stay, those
+    nearest to S first, as these connect the most. So a pair that shares a bucket is compared, already connected
+    or excluded by the bound: no link is lost, and a large group of copies costs a few pairs per member.
     """
     maps, turn = [], 0
+    within = 1.0 + 1.0 / least + 1e-9
     chance = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40)) / float(1 << 40)
+    measures = ["inside", "met", "excess", "total"]
+    unknown = [F.lit(None).cast("double").alias(name) for name in measures]
+    members = members.select("bucket", "node", "label", chance.alias("place"), *unknown)
     while True:
-        few = F.lit(float(FIRST_PIVOTS * MORE_PIVOTS**turn)) / F.col("size")
-        live = members.withColumn("pivot", (F.col("size") <= WHOLE_BUCKET) | (chance < few))
-        pivots = live.filter("pivot").select(F.col("bucket").alias("of"), F.col("node").alias("a"), F.col("label").alias("label_a"))
+        few = FIRST_PIVOTS * MORE_PIVOTS ** max(0, turn - 1)
+        ranked = Window.partitionBy("bucket").orderBy("place", "node")
+        sizes = members.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size"))
+        leads = members.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= max(few, WHOLE_BUCKET))
+        leads = leads.join(sizes, F.col("bucket") == F.col("of")).filter((F.col("rank") <= few) | (F.col("size") <= WHOLE_BUCKET))
+        pivots = written(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *measures]), "rank", "size"))
+        alone = (
+            F.least(F.lit(1.0), F.col("inside"), (F.col("met_a") + F.col("excess")) / F.col("total")),
+            F.least(F.lit(1.0), F.col("inside_a"), (F.col("met") + F.col("excess_a")) / F.col("total_a")),
+        )
+        bound = sum(1.0 / F.greatest(share, F.lit(1e-9)) for share in alone)
         pairs = (
-            live.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("label_a")))
-            # of two pivots one takes the other
-            .filter(~F.col("pivot") | (F.col("a") < F.col("node")))
-            .select("a", F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
+            members.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("label_a")))
+            .filter(F.struct("place_a", "node_a") < F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")))
+            .filter(F.col("inside").isNull() | F.col("inside_a").isNull() | (bound <= within))
+            .select(F.col("node_a").alias("a"), F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
             .distinct()
         )
         found = written(verified(pairs, texts, least).distinct())
-        rest = live.filter(~F.col("pivot")).drop("pivot")
+        last = pivots.groupBy("of").agg(F.max(F.struct("place_a", "node_a")).alias("last"), F.max("size").alias("size"))
+        rest = members.join(last, F.col("bucket") == F.col("of")).filter(
+            F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")) > F.col("last")
+        )
         if not found.isEmpty():
             maps.append(merged_labels(found))
             rest = relabelled(rest, maps[-1:])
-        rest = written(rest)
-        several = rest.groupBy(F.col("bucket").alias("of")).agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-        members = written(rest.join(several.select("of"), F.col("bucket") == F.col("of")).drop("of"))
+        rest = written(several(rest.drop("of", "last")))
+        if rest.isEmpty():
+            return maps
+        fresh = rest.filter("inside is null")
+        stays = rest.filter("inside is not null").select("bucket", "node", "label", "place", *measures)
+        if not fresh.isEmpty():
+            split = written(outside_pivots(_with_pivots(fresh, pivots, texts), least))
+            near = F.round(1.0 - F.col("inside"), 3) + chance / 1000.0
+            stays = stays.unionByName(split.select("bucket", "node", "label", near.alias("place"), *measures))
+            by_shingle = split.select("node", "label", F.explode("first").alias("shingle"))
+            by_shingle = by_shingle.select(F.xxhash64(F.lit("outside"), "shingle").alias("bucket"), "node", "label").distinct()
+            by_shingle = several(by_shingle.select("bucket", "node", "label", chance.alias("place"), *unknown))
+        ends = stays.groupBy(F.col("bucket").alias("of")).agg(
+            F.min("total").alias("least_total"), F.max(F.col("excess") / F.col("total")).alias("most_excess")
+        )
+        reach = _reach(F.col("least_total"), F.col("most_excess"))
+        stays = several(stays.join(ends, F.col("bucket") == F.col("of")).filter(reach <= within).drop("of", "least_total", "most_excess"))
+        members = written(stays if fresh.isEmpty() else stays.unionByName(by_shingle))
         if members.isEmpty():
             return maps
         turn += 1
 
 
+def several(members: DataFrame) -> DataFrame:
+    """The buckets that hold more than one label."""
+    ends = members.groupBy(F.col("bucket").alias("__of")).agg(F.min("label").alias("__low"), F.max("label").alias("__high"))
+    return members.join(ends.filter("__low != __high").select("__of"), F.col("bucket") == F.col("__of")).drop("__of")
+
+
+def _with_pivots(fresh: DataFrame, pivots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members of each bucket dealt over salts, and the bucket's first pivots in each of these, with texts."""
+    salts = F.ceil(F.col("size") / float(SALTED)).cast("int")
+    rows = fresh.select("bucket", F.pmod(F.xxhash64(F.lit(5), "node"), salts).cast("int").alias("salt"), F.lit(False).alias("pivot"), "node", "label")
+    wanted = fresh.select(F.col("bucket").alias("__bucket")).distinct()
+    heads = pivots.filter(F.col("rank") <= UNITED).join(wanted, F.col("of") == F.col("__bucket"), "left_semi")
+    heads = heads.select(
+        F.col("of").alias("bucket"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("pivot"),
+        F.col("node_a").alias("node"), F.col("label_a").alias("label"),
+    )
+    named = texts.select(F.col("node").alias("__node"), "text")
+    return rows.unionByName(heads).join(named, F.col("node") == F.col("__node")).drop("__node")
+
+
 def merged_labels(links: DataFrame) -> DataFrame:
     """New label of every label in `links(label_a, label_b)`: (old, new).
 
@@ -306,8 +426,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
         worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
     )
     bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
-    sizes = bucketed.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(bucketed.join(sizes, F.col("bucket") == F.col("of")).select("bucket", "node", "size", F.col("node").alias("label")))
+    members = written(several(bucketed.withColumn("label", F.col("node"))))
     named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("of")).distinct()
