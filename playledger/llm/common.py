@@ -29,6 +29,11 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_links(df: DataFrame) -> DataFrame:
+    """`written` for narrow tables (links, labels, buckets): in no more files than the cluster has cores."""
+    return written(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

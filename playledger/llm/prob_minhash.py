@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playledger.llm.common import small_batches, text_slices, written
+from playledger.llm.common import small_batches, text_slices, written, written_links
 from playledger.llm.words import mix, word_hashes
 
 SHINGLE = 5
@@ -16,7 +16,7 @@ BANDS = 20
 LEAST = 0.8
 WHOLE_BUCKET = 16
 FIRST_PIVOTS = 4
-MORE_PIVOTS = 2
+MORE_PIVOTS = 16
 UNITED = 8
 SALTED = 256
 KEPT_BYTES = 64 << 20
@@ -208,15 +208,15 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours, then the label's own label, so paths halve;
     every round is written to the shared folder, and only the number of changes reaches the driver.
     """
-    arcs = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = written(arcs.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
+    arcs = written_links(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = written_links(arcs.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
     while True:
         of = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
         near = arcs.join(of, "b").groupBy("a").agg(F.min("near").alias("near")).withColumnRenamed("a", "node")
         lower = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        lower = written(lower)
+        lower = written_links(lower)
         up = lower.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        labels = written(lower.join(up, "label").select("node", F.least("label", "up").alias("label"), "old"))
+        labels = written_links(lower.join(up, "label").select("node", F.least("label", "up").alias("label"), "old"))
         changed = labels.filter("label != old").limit(1).count()
         labels = labels.select("node", "label")
         if not changed:
@@ -312,7 +312,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
         sizes = members.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size"))
         leads = members.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= max(few, WHOLE_BUCKET))
         leads = leads.join(sizes, F.col("bucket") == F.col("of")).filter((F.col("rank") <= few) | (F.col("size") <= WHOLE_BUCKET))
-        pivots = written(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *measures]), "rank", "size"))
+        pivots = written_links(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *measures]), "rank", "size"))
         alone = (
             F.least(F.lit(1.0), F.col("inside"), (F.col("met_a") + F.col("excess")) / F.col("total")),
             F.least(F.lit(1.0), F.col("inside_a"), (F.col("met") + F.col("excess_a")) / F.col("total_a")),
@@ -325,7 +325,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
             .select(F.col("node_a").alias("a"), F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
             .distinct()
         )
-        found = written(verified(pairs, texts, least).distinct())
+        found = written_links(verified(pairs, texts, least).distinct())
         last = pivots.groupBy("of").agg(F.max(F.struct("place_a", "node_a")).alias("last"), F.max("size").alias("size"))
         rest = members.join(last, F.col("bucket") == F.col("of")).filter(
             F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")) > F.col("last")
@@ -333,13 +333,13 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
         if not found.isEmpty():
             maps.append(merged_labels(found))
             rest = relabelled(rest, maps[-1:])
-        rest = written(several(rest.drop("of", "last")))
+        rest = written_links(several(rest.drop("of", "last")))
         if rest.isEmpty():
             return maps
         fresh = rest.filter("inside is null")
         stays = rest.filter("inside is not null").select("bucket", "node", "label", "place", *measures)
         if not fresh.isEmpty():
-            split = written(outside_pivots(_with_pivots(fresh, pivots, texts), least))
+            split = written_links(outside_pivots(_with_pivots(fresh, pivots, texts), least))
             near = F.round(1.0 - F.col("inside"), 3) + chance / 1000.0
             stays = stays.unionByName(split.select("bucket", "node", "label", near.alias("place"), *measures))
             by_shingle = split.select("node", "label", F.explode("first").alias("shingle"))
@@ -350,7 +350,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
         )
         reach = _reach(F.col("least_total"), F.col("most_excess"))
         stays = several(stays.join(ends, F.col("bucket") == F.col("of")).filter(reach <= within).drop("of", "least_total", "most_excess"))
-        members = written(stays if fresh.isEmpty() else stays.unionByName(by_shingle))
+        members = written_links(stays if fresh.isEmpty() else stays.unionByName(by_shingle))
         if members.isEmpty():
             return maps
         turn += 1
@@ -382,11 +382,11 @@ def merged_labels(links: DataFrame) -> DataFrame:
     A member's links all lead to pivots, so the components are found among the few pivots: each
     member takes its least one, and its others are linked to that.
     """
-    low = written(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
+    low = written_links(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
     others = links.join(low.withColumnRenamed("label_b", "of"), F.col("label_b") == F.col("of")).filter("label_a != low")
     pivots = links.select(F.col("label_a").alias("of")).distinct()
     chained = low.join(pivots, F.col("label_b") == F.col("of"), "left_semi")
-    core = written(
+    core = written_links(
         others.select(F.col("low").alias("a"), F.col("label_a").alias("b"))
         .unionByName(chained.select(F.col("low").alias("a"), F.col("label_b").alias("b")))
         .distinct()
@@ -397,7 +397,7 @@ def merged_labels(links: DataFrame) -> DataFrame:
     labels = components(core)
     mine = relabelled(mine.withColumnRenamed("new", "label"), [labels.select(F.col("node").alias("old"), F.col("label").alias("new"))])
     roots = labels.join(low.select(F.col("label_b").alias("of")), F.col("node") == F.col("of"), "left_anti")
-    return written(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
+    return written_links(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
 
 
 def relabelled(rows: DataFrame, maps: list[DataFrame]) -> DataFrame:
@@ -426,7 +426,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
         worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
     )
     bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
-    members = written(several(bucketed.withColumn("label", F.col("node"))))
+    members = written_links(several(bucketed.withColumn("label", F.col("node"))))
     named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("of")).distinct()

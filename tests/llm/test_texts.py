@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from playledger.llm import brown, langid, mixing, prob_minhash
@@ -135,6 +136,35 @@ def test_all_pairs_of_a_crowd_without_likeness_are_compared(spark, monkeypatch):
     assert [(bytes(r.old)[0], bytes(r.new)[0]) for step in maps for r in step.collect()] in ([(99, 39)], [(39, 99)])
 
 
+def test_a_family_around_the_limit_is_split_without_losing_a_link(spark, monkeypatch):
+    """Copies of one text with few to many edits and cuts, shared edits, and a crowd nested in the crowd, in one bucket."""
+    monkeypatch.setattr(prob_minhash, "FIRST_PIVOTS", 2)
+    monkeypatch.setattr(prob_minhash, "MORE_PIVOTS", 2)
+    monkeypatch.setattr(prob_minhash, "SALTED", 16)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(80)]
+    other = base[:30] + [f"v{k}" for k in range(40)]
+    texts = []
+    for k in range(110):
+        own = list(base if k < 80 else other)
+        for _ in range(rng.choice([0, 1, 2, 2, 3, 3, 4])):
+            at = rng.randrange(len(own))
+            own[at] = f"x{at}" if rng.random() < 0.4 else f"y{k}"
+        if rng.random() < 0.25:
+            at = rng.randrange(60)
+            del own[at : at + rng.choice([3, 8, 12])]
+        texts.append((k.to_bytes(16, "big"), " ".join(own)))
+    frame = spark.createDataFrame(texts, "node binary, text string")
+    members = frame.select(F.lit(1).cast("long").alias("bucket"), "node", F.col("node").alias("label"))
+    named = prob_minhash.relabelled(members, prob_minhash.near_links(members, frame, 0.8)).select("node", "label").collect()
+    groups = collections.defaultdict(list)
+    for row in named:
+        groups[bytes(row.label)].append(int.from_bytes(row.node, "big"))
+    docs = [Row(doc_id=k, text=text) for k, (_, text) in enumerate(texts)]
+    assert {(d, min(g), len(g)) for g in groups.values() for d in g} == brute_classes(docs)
+    assert 3 < len(groups) < 110
+
+
 # mixing
 
 
