@@ -10,14 +10,12 @@ from playledger.llm import langid, mixing, patterns, prob_minhash
 from playledger.llm.common import written
 from playledger.llm.queries import held_out
 
-LEAST_SHARE = 0.4
-
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those of which no language holds LEAST_SHARE."""
+    """Drops texts without a letter and those that read like a language not learned; several languages in one text are kept."""
     model = langid.fit(docs, ~held_out(3))
-    told = langid.identify(docs, model)
-    return told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    told = langid.identify(docs, model, evidence="__over")
+    return told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("__over") >= 0)).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

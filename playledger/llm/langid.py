@@ -18,16 +18,21 @@ GRAM = 4
 BUCKETS = 1 << 17
 ROUNDS = 8
 UNKNOWN = "und"
+FOREIGN = 2 / 3
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, and log probabilities (bucket, language) of hashed byte n-grams of words."""
+    """Languages, log probabilities (bucket, language) of hashed byte n-grams of words, and background.
+
+    `background` is the mean log probability per n-gram, per language, under which a text is not in it.
+    """
 
     languages: tuple[str, ...]
     logs: np.ndarray
+    background: np.ndarray
 
 
 def word_grams(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,7 +94,24 @@ def fit(docs: DataFrame, train: Column) -> Model:
     counts = np.full((BUCKETS, len(languages)), 0.5)
     where = {name: k for k, name in enumerate(languages)}
     counts[found["bucket"].to_numpy(np.int64), found["lang"].map(where).to_numpy(np.int64)] += found["n"].to_numpy(float)
-    return Model(languages, np.log(counts / counts.sum(0)).astype(np.float32))
+    logs = np.log(counts / counts.sum(0))
+    return Model(languages, logs.astype(np.float32), background(counts, logs))
+
+
+def background(counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Per language, the level FOREIGN of the way from how its own text reads to how it reads where it is not learned.
+
+    Own: mean log probability of its n-grams, each left out of the counts. Foreign: the mean under the likeliest other
+    language, or even odds for all buckets where there is none.
+    """
+    seen = counts - 0.5
+    share = seen / np.maximum(seen.sum(0), 1)
+    own = (share * np.log(np.maximum(counts - 1, 0.5) / (counts.sum(0) - 1))).sum(0)
+    across = share.T @ logs
+    np.fill_diagonal(across, -np.inf)
+    foreign = across.max(1, initial=-np.inf)
+    foreign = np.where(np.isfinite(foreign), foreign, -np.log(BUCKETS))
+    return own + FOREIGN * np.minimum(foreign - own, 0)
 
 
 def mixture(likelihood: np.ndarray, first: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,30 +167,38 @@ def language_sets(likelihood: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def identify(docs: DataFrame, model: Model, evidence: str | None = None) -> DataFrame:
     """Adds lang_pred, score (its share of the text) and n_languages to every row of `docs`.
 
     `und` with score 0 where the text is null or has no letter, or nothing was learned. Ties go
     to the language first in order of its name. Other columns are passed through untouched,
     also under these names' clashes: the result's own columns then replace them. No shuffle.
+    `evidence` names one more column: mean log likelihood per n-gram under the text's languages
+    over that of their backgrounds; below 0 the text is in none of them, null where it is `und`.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    logs, languages = model.logs, model.languages
+    logs, languages, floor = model.logs, model.languages, model.background
     docs = docs.drop("lang_pred", "score", "n_languages", "__letters")
-    names = [*docs.columns, "lang_pred", "score", "n_languages"]
+    names = [*docs.columns, "lang_pred", "score", "n_languages", *([evidence] if evidence else [])]
     lettered = docs.withColumn("__letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def predicted(batches):
         for rows, data, edges in text_slices(batches, "text"):
             n = rows.num_rows
-            shares = np.zeros((n, max(1, len(languages))))
+            shares, over = np.zeros((n, max(1, len(languages)))), np.zeros(n)
             grams, opens, owner = word_grams(data, edges)
             if len(grams) and languages:
                 by_word = np.add.reduceat(logs[grams], opens, axis=0)
-                likelihood = np.exp(by_word - by_word.max(1, keepdims=True)).astype(np.float64)
+                top = by_word.max(1, keepdims=True)
+                likelihood = np.exp(by_word - top).astype(np.float64)
                 texts, first = np.unique(owner, return_index=True)
                 shares[texts] = language_sets(likelihood, first)
+                if evidence:
+                    joint = (likelihood * shares[owner]).sum(1)
+                    total = np.add.reduceat(np.log(joint + 1e-30) + top[:, 0].astype(np.float64), first)
+                    n_grams = np.diff(np.append(opens[first], len(grams)))
+                    over[texts] = total / n_grams - shares[texts] @ floor
             letters = rows.column(rows.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             best = shares.argmax(1)
             found = letters & (shares.max(1) > 0)
@@ -178,8 +208,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 pa.array(labels, pa.string()),
                 pa.array(np.where(found, np.clip(shares.max(1), 0.0, 1.0), 0.0)),
                 pa.array(np.where(found, (shares > 0.01).sum(1), 0), pa.int32()),
+                *([pa.array(over, mask=~found)] if evidence else []),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = StructType(docs.schema.fields).add("lang_pred", "string").add("score", "double").add("n_languages", "integer")
+    schema = schema.add(evidence, "double") if evidence else schema
     return lettered.mapInArrow(predicted, schema)
