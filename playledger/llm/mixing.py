@@ -13,6 +13,7 @@ from playledger.llm.words import mix
 LEAF_ROWS = 4096
 FAN_IN = 16
 MOST_COPIES = 2.0
+PART_BITS = 56
 _ROUNDED = "source string, doc_id long, seed long, size long, whole long, part double, leaf long"
 _EDGE = 1e-9
 
@@ -164,31 +165,34 @@ def take_mixture(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), budget
 
     Copies are counted per doc_id, source and size; rows alike in these share their copies, so
     that a repeated row gets the mean of them, the first ones by a hash of the text one more.
+    Rows alike are ranked in parts by the hash's first bits, so that many without a doc_id spread.
     """
-    sized = docs.withColumn("__size", word_count().cast("long"))
+    order = F.xxhash64("text")
+    sized = docs.withColumn("__size", word_count().cast("long")).withColumn("__order", order).withColumn("__part", F.shiftright("__order", PART_BITS))
     slim = written(sized.select("doc_id", "source", F.col("__size").alias("size")))
     mixed = mix_copies(slim, source_targets(slim, weights, budget))
     shares = mixed.groupBy("doc_id", "source", "size").agg(
         F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")
     )
-    alone = shares.filter("__rows = 1 and __copies > 0").withColumnRenamed("doc_id", "__id").select("__id", "__copies")
-    several = shares.filter("__rows > 1 and __copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__of"), "__copies", "__rows"
-    )
-    keys = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
-    rank = F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy(F.xxhash64("text")))
-    repeated = (
-        sized.join(several, keys & (F.col("__size") == F.col("__of")))
-        .withColumn("__rank", rank)
-        .withColumn(
-            "__times",
-            F.floor(F.col("__copies") / F.col("__rows"))
-            + F.when(F.col("__rank") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0),
+    shares = written(
+        shares.filter("__copies > 0").select(
+            F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__of"), "__copies", "__rows"
         )
     )
-    single = sized.join(alone, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__times", F.col("__copies"))
+    keys = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__of"))
     names = [F.col(c) for c in docs.columns]
-    both = single.select(*names, "__times", "__size").unionByName(repeated.select(*names, "__times", "__size"))
-    return both.filter("__times > 0").select(
+    alone = shares.filter("__rows = 1").drop("__rows")
+    single = sized.join(alone, keys).select(*names, F.col("__copies").alias("__times"))
+    # how many rows of the same key stand before a part: a key has at most 2 ** (64 - PART_BITS) parts
+    of_key = [F.col("doc_id"), F.col("source"), F.col("__size")]
+    parts = sized.groupBy(*of_key, "__part").agg(F.count(F.lit(1)).alias("__here")).join(shares.filter("__rows > 1"), keys)
+    before = F.sum("__here").over(Window.partitionBy(*of_key).orderBy("__part")) - F.col("__here")
+    parts = parts.select("__id", "__source", "__of", F.col("__part").alias("__in"), "__copies", "__rows", before.alias("__before"))
+    rank = F.row_number().over(Window.partitionBy(*of_key, "__part").orderBy("__order")) + F.col("__before")
+    more = F.when(rank <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
+    repeated = sized.join(parts, keys & (F.col("__part") == F.col("__in"))).select(
+        *names, (F.floor(F.col("__copies") / F.col("__rows")) + more).alias("__times")
+    )
+    return single.unionByName(repeated).filter("__times > 0").select(
         *names, F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))).alias("__copy")
     ).drop("__copy")
