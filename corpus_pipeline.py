@@ -19,14 +19,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each class of near-duplicates, and one row of it.
-
-    Rows without a doc_id cannot be told apart by it: of those, one row per text stays.
-    """
-    classes = prob_minhash.near_duplicates(docs)
-    heads = classes.filter("class_id = doc_id").select(F.col("doc_id").alias("head")).distinct()
-    named = docs.join(heads, F.col("doc_id") == F.col("head"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"]))
+    """Keeps one row of each class of near-duplicates: that of the smallest doc_id, rows without one last."""
+    return prob_minhash.one_of_each(docs)
 
 
 def take_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

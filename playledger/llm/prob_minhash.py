@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from playledger.llm.common import small_batches, text_slices, written, written_links
 from playledger.llm.words import mix, word_hashes
@@ -167,6 +168,9 @@ def text_keys(data: np.ndarray, edges: np.ndarray) -> list[bytes | None]:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
+    """`docs(doc_id, text, ...)` with node and bands; node is null for a text without words."""
+    names = [*docs.columns, "node", "bands"]
+
     def sign(batches):
         for rows, data, edges in text_slices(batches, "text", 4 << 20):
             n = rows.num_rows
@@ -175,9 +179,10 @@ def _signed(docs: DataFrame) -> DataFrame:
             found = bands(signatures(value, weight, owner, n)).view(np.int64)
             cuts = pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32))
             signature = pa.ListArray.from_arrays(cuts, pa.array(found.reshape(-1)))
-            yield pa.record_batch([rows.column(0), rows.column(1), pa.array(keys, pa.binary()), signature], ["doc_id", "text", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.binary()), signature], names)
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, text string, node binary, bands array<bigint>")
+    schema = StructType([*docs.schema.fields]).add("node", "binary").add("bands", ArrayType(LongType()))
+    return docs.mapInArrow(sign, schema)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -408,6 +413,22 @@ def relabelled(rows: DataFrame, maps: list[DataFrame]) -> DataFrame:
     return rows
 
 
+def _labelled(worded: DataFrame, least: float) -> DataFrame:
+    """node, least_id, rows and the label of its class for every exact text of `worded(doc_id, text, node, bands)`."""
+    # any row of an exact text stands for all: their bands are the same
+    nodes = written(
+        worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
+    )
+    bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
+    members = written_links(several(bucketed.withColumn("label", F.col("node"))))
+    named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
+    if not members.isEmpty():
+        wanted = members.select(F.col("node").alias("of")).distinct()
+        texts = worded.select("node", "text").join(wanted, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
+        named = relabelled(named, near_links(members, written(texts), least))
+    return written(named)
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, class_id, class_size for every row of `docs(doc_id, text)`.
 
@@ -418,22 +439,29 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     is smaller than none. Repeated rows get a row each. Other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    signed = written(_signed(docs))
+    signed = written(_signed(docs.select("doc_id", "text")))
     alone = signed.filter("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     worded = signed.filter("node is not null")
-    # any row of an exact text stands for all: their bands are the same
-    nodes = written(
-        worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
-    )
-    bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
-    members = written_links(several(bucketed.withColumn("label", F.col("node"))))
-    named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
-    if not members.isEmpty():
-        wanted = members.select(F.col("node").alias("of")).distinct()
-        texts = worded.select("node", "text").join(wanted, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
-        named = relabelled(named, near_links(members, written(texts), least))
-    named = written(named)
+    named = _labelled(worded, least)
     classes = named.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("class_id"), F.sum("rows").alias("class_size"))
     by_node = named.join(classes, F.col("label") == F.col("of")).select(F.col("node").alias("of_node"), "class_id", "class_size")
     grouped = worded.select("doc_id", "node").join(by_node, F.col("node") == F.col("of_node")).select("doc_id", "class_id", "class_size")
     return grouped.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """One row of each class of `docs`, with all its columns: that of the smallest doc_id, null last, and smallest node.
+
+    The row is found by its class, not by doc_id: rows that share a doc_id or have none are in the classes of their
+    texts. A text without words is a class of its own; of such rows alike in doc_id and text one stays.
+    """
+    small_batches(docs.sparkSession)
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
+    signed = written(_signed(docs.select("doc_id", "text", rest)))
+    worded = signed.filter("node is not null")
+    first = F.min(F.struct(F.col("least_id").isNull().alias("unnamed"), "least_id", "node")).alias("head")
+    heads = _labelled(worded, least).groupBy("label").agg(first).select(F.col("head.node").alias("of"), F.col("head.least_id").alias("id"))
+    rows = worded.select("doc_id", "text", "rest", "node")
+    picked = rows.join(heads, (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").dropDuplicates(["node"])
+    wordless = signed.filter("node is null").select(*rows.columns).dropDuplicates(["doc_id", "text"])
+    return picked.unionByName(wordless).select(*["text" if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
