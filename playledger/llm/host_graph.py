@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from playledger.llm.common import written
 
 DAMPING = 0.85
-ROUNDS = 8
 CUT_EVERY = 4
+TOLERANCE = 1e-6
 WORSE = 1.5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LINK = r"(?i)(?:href|src)\s*=\s*[\"']?\s*(?:https?:)?//([^/?#\"'\s<>]+)"
@@ -78,23 +78,35 @@ def _shares(edges: DataFrame, source: str, target: str) -> DataFrame:
     )
 
 
-def spread(arcs: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def spread(arcs: DataFrame, seeds: DataFrame, rounds: int | None = None, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank (host, rank) from `seeds(host, seed)`, seeds summing to 1, along `arcs`.
 
-    Mass that reaches a host without arcs goes no further.
+    Mass that reaches a host without arcs goes no further. Without `rounds`, until the ranks' summed absolute change
+    over CUT_EVERY rounds is at most `tolerance`; they are then within 1.1 times that of the solved system. A round
+    shrinks the change by DAMPING at least, so this ends; one number per CUT_EVERY rounds reaches the driver.
     """
     home = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("rank"))
-    ranks = seeds.select("host", F.col("seed").alias("rank"))
-    for turn in range(1, rounds + 1):
+    ranks = last = seeds.select("host", F.col("seed").alias("rank"))
+    turn = 0
+    while rounds is None or turn < rounds:
         moved = arcs.join(ranks, F.col("from_host") == F.col("host")).select(
             F.col("to_host").alias("host"), (F.col("rank") * F.col("share") * DAMPING).alias("rank")
         )
         ranks = moved.unionByName(home).groupBy("host").agg(F.sum("rank").alias("rank"))
+        turn += 1
         if turn % CUT_EVERY == 0:
             ranks = written(ranks)
+            if rounds is None and _change(ranks, last) <= tolerance:
+                break
+            last = ranks
     return ranks
 
 
+def _change(ranks: DataFrame, last: DataFrame) -> float:
+    both = ranks.unionByName(last.withColumn("rank", -F.col("rank")))
+    return both.groupBy("host").agg(F.abs(F.sum("rank")).alias("change")).agg(F.sum("change")).first()[0] or 0.0
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every row of `pages(page_id, url, html)`.
 
