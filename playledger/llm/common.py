@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,24 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Fewer rows per Arrow batch for the actions inside; the session's own setting holds again afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
+def discarded(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of the shared storage that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def null_safe(left: DataFrame, right: DataFrame, *names: str):
     """Join condition that holds for equal values and for two nulls."""
     condition = F.lit(True)

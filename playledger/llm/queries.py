@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playledger.llm import brown, host_graph, langid, mixing, patterns, prob_minhash, rp_forest, segment_topk, token_counts, token_files
+from playledger.llm import (
+    brown, host_graph, langid, mixing, patterns, prob_minhash, rp_forest, segment_topk, token_counts, token_files, turn_trie, web_archive,
+    whitening,
+)
 from playledger.llm.common import small_batches, table
 from playledger.llm.host_graph import Rule
 
@@ -72,11 +75,26 @@ def op10_host_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_graph.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    head = F.pmod(F.crc32(conv.cast("string")), F.lit(6))
+    return turn_trie.prefix_trie(table(spark, sf_dir, "conversations"), head, donor=conv - conv % 100)
+
+
+def op12_shifted_cholesky(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"), k=16)
+
+
+def op13_arc_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archive.archived_pages(table(spark, sf_dir, "pages"), least=1000)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_prob_minhash, op2_pivotal_mix, op3_rp_forest, op4_language_mixture, op5_rans_files, op6_brown_classes,
-        op7_pattern_packing, op8_segment_topk, op9_transducer_counts, op10_host_verdicts,
+        op7_pattern_packing, op8_segment_topk, op9_transducer_counts, op10_host_verdicts, op11_turn_trie,
+        op12_shifted_cholesky, op13_arc_converter,
     )
 }
 
