@@ -30,9 +30,23 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def written_links(df: DataFrame) -> DataFrame:
-    """`written` for narrow tables (links, labels, buckets): in no more files than the cluster has cores."""
-    return written(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
+class Steps:
+    """Tables that the steps of a loop write, each removed once no later step reads it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[tuple[DataFrame, str]] = []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/step-{uuid.uuid4().hex}"
+        self.folders.append((written(df, path), path))
+        return self.folders[-1][0]
+
+    def drop(self, *frames: DataFrame | None) -> None:
+        """Removes the tables behind `frames`; frames that no step wrote are passed over."""
+        for own, path in [f for f in self.folders if any(f[0] is x for x in frames)]:
+            discarded(self.spark, path)
+            self.folders = [f for f in self.folders if f[0] is not own]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

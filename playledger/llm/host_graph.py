@@ -11,11 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playledger.llm.common import written
+from playledger.llm.common import Steps, written
 
 DAMPING = 0.85
-CUT_EVERY = 4
-TOLERANCE = 1e-6
+CUT_EVERY = 8
+TOLERANCE = 1e-5
 WORSE = 1.5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LINK = r"(?i)(?:href|src)\s*=\s*[\"']?\s*(?:https?:)?//([^/?#\"'\s<>]+)"
@@ -81,10 +81,12 @@ def _shares(edges: DataFrame, source: str, target: str) -> DataFrame:
 def spread(arcs: DataFrame, seeds: DataFrame, rounds: int | None = None, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank (host, rank) from `seeds(host, seed)`, seeds summing to 1, along `arcs`.
 
-    Mass that reaches a host without arcs goes no further. Without `rounds`, until the ranks' summed absolute change
-    over CUT_EVERY rounds is at most `tolerance`; they are then within 1.1 times that of the solved system. A round
-    shrinks the change by DAMPING at least, so this ends; one number per CUT_EVERY rounds reaches the driver.
+    Mass that reaches a host without arcs goes no further. Without `rounds`, until no host's rank changes by more than
+    `tolerance` of itself over CUT_EVERY rounds, however small it is; so a host that is reached late is waited for. A
+    round shrinks the change by DAMPING at least, so this ends. One number per CUT_EVERY rounds reaches the driver, and
+    only the last two tables of ranks are kept.
     """
+    steps = Steps(arcs.sparkSession)
     home = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("rank"))
     ranks = last = seeds.select("host", F.col("seed").alias("rank"))
     turn = 0
@@ -95,16 +97,21 @@ def spread(arcs: DataFrame, seeds: DataFrame, rounds: int | None = None, toleran
         ranks = moved.unionByName(home).groupBy("host").agg(F.sum("rank").alias("rank"))
         turn += 1
         if turn % CUT_EVERY == 0:
-            ranks = written(ranks)
+            ranks = steps.put(ranks)
             if rounds is None and _change(ranks, last) <= tolerance:
                 break
+            steps.drop(last)
             last = ranks
     return ranks
 
 
 def _change(ranks: DataFrame, last: DataFrame) -> float:
-    both = ranks.unionByName(last.withColumn("rank", -F.col("rank")))
-    return both.groupBy("host").agg(F.abs(F.sum("rank")).alias("change")).agg(F.sum("change")).first()[0] or 0.0
+    """The largest change of a host's rank as a share of it."""
+    both = ranks.select("host", "rank", F.col("rank").alias("change")).unionByName(
+        last.select("host", F.lit(0.0).alias("rank"), (-F.col("rank")).alias("change"))
+    )
+    by_host = both.groupBy("host").agg(F.sum("rank").alias("rank"), F.abs(F.sum("change")).alias("change"))
+    return by_host.agg(F.max(F.when(F.col("change") > 0, F.col("change") / F.greatest("rank", F.lit(1e-300))))).first()[0] or 0.0
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -126,11 +133,19 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     edges = written(host_edges(named))
     sums = counts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
 
-    def seeds(column: str, total: int | None) -> DataFrame:
-        return counts.filter(F.col(column) > 0).select("host", (F.col(column) / F.lit(float(total or 1))).alias("seed"))
+    # trust and distrust walk together, as two parts of one graph that are not connected
+    def seeds(mark: str, column: str, total: int | None) -> DataFrame:
+        rows = counts.filter(F.col(column) > 0)
+        return rows.select(F.concat(F.lit(mark), "host").alias("host"), (F.col(column) / F.lit(float(total or 1))).alias("seed"))
+
+    def arcs(mark: str, source: str, target: str) -> DataFrame:
+        ends = [F.concat(F.lit(mark), name).alias(name) for name in ("from_host", "to_host")]
+        return _shares(edges, source, target).select(*ends, "share")
 
-    trust = spread(written(_shares(edges, "src", "dst")), seeds("good", sums.good)).select(F.col("host").alias("of_host"), F.col("rank").alias("trust"))
-    against = spread(written(_shares(edges, "dst", "src")), seeds("bad", sums.bad)).select(F.col("host").alias("by_host"), F.col("rank").alias("distrust"))
+    both = written(arcs("+", "src", "dst").unionByName(arcs("-", "dst", "src")))
+    ranks = spread(both, written(seeds("+", "good", sums.good).unionByName(seeds("-", "bad", sums.bad))))
+    trust = ranks.filter(F.col("host").startswith("+")).select(F.substr("host", F.lit(2)).alias("of_host"), F.col("rank").alias("trust"))
+    against = ranks.filter(F.col("host").startswith("-")).select(F.substr("host", F.lit(2)).alias("by_host"), F.col("rank").alias("distrust"))
     hosts = counts.join(trust, F.col("host") == F.col("of_host"), "left").join(against, F.col("host") == F.col("by_host"), "left")
     hosts = hosts.select(
         F.col("host").alias("judged"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")

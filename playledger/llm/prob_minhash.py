@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from playledger.llm.common import small_batches, text_slices, written, written_links
+from playledger.llm.common import Steps, small_batches, text_slices, written
 from playledger.llm.words import mix, word_hashes
 
 SHINGLE = 5
@@ -17,9 +17,10 @@ BANDS = 20
 LEAST = 0.8
 WHOLE_BUCKET = 16
 FIRST_PIVOTS = 4
-MORE_PIVOTS = 16
+MORE_PIVOTS = 4
 UNITED = 8
 SALTED = 256
+FOLDS = 64
 KEPT_BYTES = 64 << 20
 _ROUNDING = 1e-12
 Shingles = tuple[np.ndarray, np.ndarray, float]
@@ -213,19 +214,22 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours, then the label's own label, so paths halve;
     every round is written to the shared folder, and only the number of changes reaches the driver.
     """
-    arcs = written_links(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = written_links(arcs.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
+    steps = Steps(edges.sparkSession)
+    arcs = steps.put(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = steps.put(arcs.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
     while True:
         of = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
         near = arcs.join(of, "b").groupBy("a").agg(F.min("near").alias("near")).withColumnRenamed("a", "node")
         lower = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        lower = written_links(lower)
+        lower = steps.put(lower)
         up = lower.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        labels = written_links(lower.join(up, "label").select("node", F.least("label", "up").alias("label"), "old"))
-        changed = labels.filter("label != old").limit(1).count()
-        labels = labels.select("node", "label")
-        if not changed:
-            return labels
+        raised = steps.put(lower.join(up, "label").select("node", F.least("label", "up").alias("label"), "old"))
+        steps.drop(labels, lower)
+        if raised.filter("label != old").isEmpty():
+            steps.drop(arcs)
+            return raised.select("node", "label")
+        labels = steps.put(raised.select("node", "label"))
+        steps.drop(raised)
 
 
 def _outside(text: Shingles, union: tuple[np.ndarray, np.ndarray], least: float) -> tuple:
@@ -305,7 +309,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
     nearest to S first, as these connect the most. So a pair that shares a bucket is compared, already connected
     or excluded by the bound: no link is lost, and a large group of copies costs a few pairs per member.
     """
-    maps, turn = [], 0
+    maps, turn, steps = [], 0, Steps(members.sparkSession)
     within = 1.0 + 1.0 / least + 1e-9
     chance = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40)) / float(1 << 40)
     measures = ["inside", "met", "excess", "total"]
@@ -317,7 +321,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
         sizes = members.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size"))
         leads = members.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= max(few, WHOLE_BUCKET))
         leads = leads.join(sizes, F.col("bucket") == F.col("of")).filter((F.col("rank") <= few) | (F.col("size") <= WHOLE_BUCKET))
-        pivots = written_links(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *measures]), "rank", "size"))
+        pivots = steps.put(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *measures]), "rank", "size"))
         alone = (
             F.least(F.lit(1.0), F.col("inside"), (F.col("met_a") + F.col("excess")) / F.col("total")),
             F.least(F.lit(1.0), F.col("inside_a"), (F.col("met") + F.col("excess_a")) / F.col("total_a")),
@@ -330,7 +334,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
             .select(F.col("node_a").alias("a"), F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
             .distinct()
         )
-        found = written_links(verified(pairs, texts, least).distinct())
+        found = steps.put(verified(pairs, texts, least).distinct())
         last = pivots.groupBy("of").agg(F.max(F.struct("place_a", "node_a")).alias("last"), F.max("size").alias("size"))
         rest = members.join(last, F.col("bucket") == F.col("of")).filter(
             F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")) > F.col("last")
@@ -338,29 +342,42 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
         if not found.isEmpty():
             maps.append(merged_labels(found))
             rest = relabelled(rest, maps[-1:])
-        rest = written_links(several(rest.drop("of", "last")))
+        rest = steps.put(several(rest.drop("of", "last")))
+        steps.drop(members, found)
         if rest.isEmpty():
             return maps
         fresh = rest.filter("inside is null")
+        split = by_shingle = None
         stays = rest.filter("inside is not null").select("bucket", "node", "label", "place", *measures)
         if not fresh.isEmpty():
-            split = written_links(outside_pivots(_with_pivots(fresh, pivots, texts), least))
+            split = steps.put(outside_pivots(_with_pivots(fresh, pivots, texts), least))
             near = F.round(1.0 - F.col("inside"), 3) + chance / 1000.0
             stays = stays.unionByName(split.select("bucket", "node", "label", near.alias("place"), *measures))
-            by_shingle = split.select("node", "label", F.explode("first").alias("shingle"))
-            by_shingle = by_shingle.select(F.xxhash64(F.lit("outside"), "shingle").alias("bucket"), "node", "label").distinct()
-            by_shingle = several(by_shingle.select("bucket", "node", "label", chance.alias("place"), *unknown))
+            by_shingle = steps.put(outside_buckets(split).select("bucket", "node", "label", chance.alias("place"), *unknown))
         ends = stays.groupBy(F.col("bucket").alias("of")).agg(
             F.min("total").alias("least_total"), F.max(F.col("excess") / F.col("total")).alias("most_excess")
         )
         reach = _reach(F.col("least_total"), F.col("most_excess"))
         stays = several(stays.join(ends, F.col("bucket") == F.col("of")).filter(reach <= within).drop("of", "least_total", "most_excess"))
-        members = written_links(stays if fresh.isEmpty() else stays.unionByName(by_shingle))
+        members = steps.put(stays if by_shingle is None else stays.unionByName(several(by_shingle)))
+        steps.drop(pivots, rest, split, by_shingle)
         if members.isEmpty():
             return maps
         turn += 1
 
 
+def outside_buckets(split: DataFrame) -> DataFrame:
+    """(bucket, node, label): a bucket for each of a text's shingles outside the pivots of any of its buckets.
+
+    The same shingles come from many buckets of a text, and two texts need to meet at a shingle once only, so
+    they are folded per text before they become rows: first over parts of its buckets, then over these.
+    """
+    united = F.array_distinct(F.flatten(F.collect_set("first"))).alias("first")
+    parts = split.groupBy("node", "label", F.pmod("bucket", F.lit(FOLDS)).alias("part")).agg(united)
+    shingle = parts.groupBy("node", "label").agg(united).select("node", "label", F.explode("first").alias("shingle"))
+    return shingle.select(F.xxhash64(F.lit("outside"), "shingle").alias("bucket"), "node", "label")
+
+
 def several(members: DataFrame) -> DataFrame:
     """The buckets that hold more than one label."""
     ends = members.groupBy(F.col("bucket").alias("__of")).agg(F.min("label").alias("__low"), F.max("label").alias("__high"))
@@ -387,11 +404,11 @@ def merged_labels(links: DataFrame) -> DataFrame:
     A member's links all lead to pivots, so the components are found among the few pivots: each
     member takes its least one, and its others are linked to that.
     """
-    low = written_links(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
+    low = written(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
     others = links.join(low.withColumnRenamed("label_b", "of"), F.col("label_b") == F.col("of")).filter("label_a != low")
     pivots = links.select(F.col("label_a").alias("of")).distinct()
     chained = low.join(pivots, F.col("label_b") == F.col("of"), "left_semi")
-    core = written_links(
+    core = written(
         others.select(F.col("low").alias("a"), F.col("label_a").alias("b"))
         .unionByName(chained.select(F.col("low").alias("a"), F.col("label_b").alias("b")))
         .distinct()
@@ -402,7 +419,7 @@ def merged_labels(links: DataFrame) -> DataFrame:
     labels = components(core)
     mine = relabelled(mine.withColumnRenamed("new", "label"), [labels.select(F.col("node").alias("old"), F.col("label").alias("new"))])
     roots = labels.join(low.select(F.col("label_b").alias("of")), F.col("node") == F.col("of"), "left_anti")
-    return written_links(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
+    return written(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
 
 
 def relabelled(rows: DataFrame, maps: list[DataFrame]) -> DataFrame:
@@ -420,7 +437,7 @@ def _labelled(worded: DataFrame, least: float) -> DataFrame:
         worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
     )
     bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
-    members = written_links(several(bucketed.withColumn("label", F.col("node"))))
+    members = written(several(bucketed.withColumn("label", F.col("node"))))
     named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("of")).distinct()
