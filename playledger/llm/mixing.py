@@ -100,18 +100,18 @@ def mix_copies(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
     The wanted copies of a row are target / source_size; the whole part is given, the rest is
     settled by pivotal rounding: in leaves of some LEAF_ROWS rows of one source, dealt by a hash
-    of doc_id so that a hot source spreads, then by a tree that combines the leaves' residues
+    of doc_id and text (`order`, where given) so that a hot source, or many rows without an id, spread, then by a tree that combines the leaves' residues
     FAN_IN at a time. Nothing depends on how Spark lays out rows, so reruns agree. Rows of size
     0 get none. Null sources are a source; null doc_ids are kept; repeated rows are each rounded.
     """
-    rows = sized.select("doc_id", "source", "size")
+    rows = sized.select("doc_id", "source", "size", *(c for c in ["order"] if c in sized.columns))
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     n_rows = rows.filter("size > 0").count()
     n_leaves = max(1, -(-n_rows // LEAF_ROWS))
     rows = (
         rows.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
         .withColumn("wanted", wanted)
-        .withColumn("seed", F.xxhash64(F.lit(17), "doc_id", "size"))
+        .withColumn("seed", F.xxhash64(F.lit(17), "doc_id", *(c for c in ["order", "size"] if c in rows.columns)))
     )
     start = rows.filter("size > 0").select(
         "source",
@@ -155,44 +155,42 @@ def _chance(seed: str):
 
 def mixed_sizes(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), budget: float = 1.5) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every document."""
-    sized = written(docs.select("doc_id", "source", word_count().cast("long").alias("size")))
+    sized = written(docs.select("doc_id", "source", word_count().cast("long").alias("size"), F.xxhash64("text").alias("order")))
     mixed = mix_copies(sized, source_targets(sized, weights, budget))
     return mixed.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def take_mixture(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), budget: float = 1.5) -> DataFrame:
-    """The documents themselves, each as often as the mixture takes it.
+    """The documents themselves, with all their columns, each as often as the mixture takes it.
 
     Copies are counted per doc_id, source and size; rows alike in these share their copies, so
     that a repeated row gets the mean of them, the first ones by a hash of the text one more.
-    Rows alike are ranked in parts by the hash's first bits, so that many without a doc_id spread.
+    Rows alike are ranked in parts by the hash's first bits, so that many without a doc_id spread. Texts are shuffled
+    once: to the copies of their part, whose rows are ranked where they meet them.
     """
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
     order = F.xxhash64("text")
-    sized = docs.withColumn("__size", word_count().cast("long")).withColumn("__order", order).withColumn("__part", F.shiftright("__order", PART_BITS))
-    slim = written(sized.select("doc_id", "source", F.col("__size").alias("size")))
+    sized = docs.select("doc_id", "source", word_count().cast("long").alias("size"), order.alias("order"), F.shiftright(order, PART_BITS).alias("part"), "text", rest)
+    slim = written(sized.select("doc_id", "source", "size", "order", "part"))
     mixed = mix_copies(slim, source_targets(slim, weights, budget))
-    shares = mixed.groupBy("doc_id", "source", "size").agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")
-    )
-    shares = written(
-        shares.filter("__copies > 0").select(
-            F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__of"), "__copies", "__rows"
-        )
-    )
-    keys = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__of"))
-    names = [F.col(c) for c in docs.columns]
-    alone = shares.filter("__rows = 1").drop("__rows")
-    single = sized.join(alone, keys).select(*names, F.col("__copies").alias("__times"))
+    of_key = ["doc_id", "source", "size"]
+    shares = mixed.groupBy(*of_key).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).filter("copies > 0")
+    shares = shares.select(*(F.col(c).alias(f"of_{c}") for c in of_key), "copies", "rows")
     # how many rows of the same key stand before a part: a key has at most 2 ** (64 - PART_BITS) parts
-    of_key = [F.col("doc_id"), F.col("source"), F.col("__size")]
-    parts = sized.groupBy(*of_key, "__part").agg(F.count(F.lit(1)).alias("__here")).join(shares.filter("__rows > 1"), keys)
-    before = F.sum("__here").over(Window.partitionBy(*of_key).orderBy("__part")) - F.col("__here")
-    parts = parts.select("__id", "__source", "__of", F.col("__part").alias("__in"), "__copies", "__rows", before.alias("__before"))
-    rank = F.row_number().over(Window.partitionBy(*of_key, "__part").orderBy("__order")) + F.col("__before")
-    more = F.when(rank <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
-    repeated = sized.join(parts, keys & (F.col("__part") == F.col("__in"))).select(
-        *names, (F.floor(F.col("__copies") / F.col("__rows")) + more).alias("__times")
-    )
-    return single.unionByName(repeated).filter("__times > 0").select(
-        *names, F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))).alias("__copy")
-    ).drop("__copy")
+    here = slim.groupBy(*of_key, "part").agg(F.count(F.lit(1)).alias("here"))
+    known = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in of_key]
+    before = F.sum("here").over(Window.partitionBy(*of_key).orderBy("part")) - F.col("here")
+    parts = here.join(shares, known[0] & known[1] & known[2]).withColumn("before", before)
+    parts = written(parts.select(_part_key().alias("of"), "copies", "rows", "before"))
+    rank = F.row_number().over(Window.partitionBy("of").orderBy("order")) + F.col("before")
+    more = F.when(rank <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+    met = sized.withColumn("key", _part_key()).join(parts, F.col("key") == F.col("of"))
+    times = met.withColumn("times", (F.floor(F.col("copies") / F.col("rows")) + more).cast("int")).filter("times > 0")
+    taken = times.select("text", "rest", F.explode(F.sequence(F.lit(1), "times")).alias("copy"))
+    return taken.select(*["text" if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
+def _part_key():
+    """doc_id, source, size and part as one text, the same for no two of them; nulls are values."""
+    name = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))
+    return F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "size", "part", name)

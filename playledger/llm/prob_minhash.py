@@ -17,10 +17,11 @@ BANDS = 20
 LEAST = 0.8
 WHOLE_BUCKET = 16
 FIRST_PIVOTS = 4
-MORE_PIVOTS = 4
+MORE_PIVOTS = 16
 UNITED = 8
 SALTED = 256
 FOLDS = 64
+TASK_ROWS = 1 << 20
 KEPT_BYTES = 64 << 20
 _ROUNDING = 1e-12
 Shingles = tuple[np.ndarray, np.ndarray, float]
@@ -208,13 +209,24 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(check, "label_a binary, label_b binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
+class Narrow(Steps):
+    """Tables of links, labels and buckets: a step writes `rows` rows at most, in tasks of TASK_ROWS or one per core."""
+
+    def __init__(self, spark, rows: int):
+        super().__init__(spark)
+        self.tasks = max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+    def put(self, df: DataFrame) -> DataFrame:
+        return super().put(df.coalesce(self.tasks))
+
+
+def components(edges: DataFrame, rows: int = 0) -> DataFrame:
     """Smallest node of the component of every node of `edges(a, b)`: (node, label).
 
     Each round takes the smallest label among neighbours, then the label's own label, so paths halve;
-    every round is written to the shared folder, and only the number of changes reaches the driver.
+    every round is written to the shared folder, and only whether labels changed reaches the driver. `rows` bounds the edges.
     """
-    steps = Steps(edges.sparkSession)
+    steps = Narrow(edges.sparkSession, 2 * rows)
     arcs = steps.put(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = steps.put(arcs.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
     while True:
@@ -295,7 +307,7 @@ def _reach(least_total, most_excess):
     return 1.0 / F.greatest("inside", F.lit(1e-9)) + 1.0 / F.greatest(other, F.lit(1e-9))
 
 
-def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataFrame]:
+def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0) -> list[DataFrame]:
     """Maps (old, new) of labels, to be applied in turn, that merge what verified pairs connect.
 
     `members(bucket, node, label)`, labels being the nodes. In every round the first few members of each
@@ -309,7 +321,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
     nearest to S first, as these connect the most. So a pair that shares a bucket is compared, already connected
     or excluded by the bound: no link is lost, and a large group of copies costs a few pairs per member.
     """
-    maps, turn, steps = [], 0, Steps(members.sparkSession)
+    maps, turn, steps = [], 0, Narrow(members.sparkSession, rows)
     within = 1.0 + 1.0 / least + 1e-9
     chance = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40)) / float(1 << 40)
     measures = ["inside", "met", "excess", "total"]
@@ -340,7 +352,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float) -> list[DataF
             F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")) > F.col("last")
         )
         if not found.isEmpty():
-            maps.append(merged_labels(found))
+            maps.append(merged_labels(found, rows))
             rest = relabelled(rest, maps[-1:])
         rest = steps.put(several(rest.drop("of", "last")))
         steps.drop(members, found)
@@ -398,17 +410,18 @@ def _with_pivots(fresh: DataFrame, pivots: DataFrame, texts: DataFrame) -> DataF
     return rows.unionByName(heads).join(named, F.col("node") == F.col("__node")).drop("__node")
 
 
-def merged_labels(links: DataFrame) -> DataFrame:
+def merged_labels(links: DataFrame, rows: int = 0) -> DataFrame:
     """New label of every label in `links(label_a, label_b)`: (old, new).
 
     A member's links all lead to pivots, so the components are found among the few pivots: each
     member takes its least one, and its others are linked to that.
     """
-    low = written(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
+    steps = Narrow(links.sparkSession, rows)
+    low = steps.put(links.groupBy("label_b").agg(F.min("label_a").alias("low")))
     others = links.join(low.withColumnRenamed("label_b", "of"), F.col("label_b") == F.col("of")).filter("label_a != low")
     pivots = links.select(F.col("label_a").alias("of")).distinct()
     chained = low.join(pivots, F.col("label_b") == F.col("of"), "left_semi")
-    core = written(
+    core = steps.put(
         others.select(F.col("low").alias("a"), F.col("label_a").alias("b"))
         .unionByName(chained.select(F.col("low").alias("a"), F.col("label_b").alias("b")))
         .distinct()
@@ -416,10 +429,10 @@ def merged_labels(links: DataFrame) -> DataFrame:
     mine = low.select(F.col("label_b").alias("old"), F.col("low").alias("new"))
     if core.isEmpty():
         return mine
-    labels = components(core)
+    labels = components(core, rows)
     mine = relabelled(mine.withColumnRenamed("new", "label"), [labels.select(F.col("node").alias("old"), F.col("label").alias("new"))])
     roots = labels.join(low.select(F.col("label_b").alias("of")), F.col("node") == F.col("of"), "left_anti")
-    return written(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
+    return steps.put(mine.withColumnRenamed("label", "new").unionByName(roots.select(F.col("node").alias("old"), F.col("label").alias("new"))))
 
 
 def relabelled(rows: DataFrame, maps: list[DataFrame]) -> DataFrame:
@@ -437,12 +450,13 @@ def _labelled(worded: DataFrame, least: float) -> DataFrame:
         worded.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
     )
     bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
-    members = written(several(bucketed.withColumn("label", F.col("node"))))
+    rows = BANDS * nodes.count()
+    members = Narrow(nodes.sparkSession, rows).put(several(bucketed.withColumn("label", F.col("node"))))
     named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("of")).distinct()
         texts = worded.select("node", "text").join(wanted, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
-        named = relabelled(named, near_links(members, written(texts), least))
+        named = relabelled(named, near_links(members, written(texts), least, rows))
     return written(named)
 
 
