@@ -14,8 +14,11 @@ from playledger.llm.queries import held_out
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those that read like a language not learned; several languages in one text are kept."""
     model = langid.fit(docs, ~held_out(3))
-    told = langid.identify(docs, model, evidence="__over")
-    return told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("__over") >= 0)).select(*docs.columns)
+    # other columns travel in a struct, so that none of their names can meet the model's
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
+    told = langid.identify(docs.select("text", rest), model, evidence="over")
+    kept = told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("over") >= 0))
+    return kept.select(*["text" if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
