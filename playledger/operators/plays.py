@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HISTORY = ("song", "artist", "album", "artist__mbid", "album__mbid", "dt", "url")
+
 
 def is_now_playing(flag: Column) -> Column:
     """A set flag marks the track playing right now; missing, empty and false do not."""
@@ -36,10 +38,19 @@ def flatten_text_fields(plays: DataFrame) -> DataFrame:
 
 
 def clean_plays(plays: DataFrame) -> DataFrame:
-    """Raw play records to the columns of the listening-history table."""
-    return (
+    """Raw play records to rows of the listening history: the named columns first, then all others.
+
+    Only the play date and the streamable mark are dropped; images become (size, text), the play
+    flag a plain column.
+    """
+    flat = (
         plays.transform(drop_now_playing)
         .transform(with_play_time)
         .transform(flatten_text_fields)
-        .select("song", "artist", "album", "artist__mbid", "album__mbid", "dt", "url")
     )
+    if "image" in flat.columns:
+        image = F.transform("image", lambda x: F.struct(x["size"].alias("size"), x["#text"].alias("text")))
+        flat = flat.withColumn("image", image)
+    if "@attr" in flat.columns:
+        flat = flat.withColumn("attr__nowplaying", F.col("`@attr`.nowplaying")).drop("@attr")
+    return flat.select(*HISTORY, *(F.col(f"`{name}`") for name in flat.columns if name not in HISTORY))

@@ -13,11 +13,17 @@ from playledger.operators.queues import (
     songs_incomplete,
     songs_without_lyrics,
 )
-from playledger.operators.responses import answer, lyrics_records, song_records
+from playledger.operators.responses import (
+    TRIMMED_SONG_FIELDS,
+    answer,
+    lyrics_records,
+    song_records,
+)
 from playledger.operators.scoring import REQUEST_ROWS, Scorer, score_traits
 from playledger.operators.upsert import dedupe
 from playledger.plans.tables import Tables
 from playledger.sinks.tables import append, merge, merge_nested, staged
+from playledger.sources.records import whole_record
 from playledger.sources.tables import table_or_empty
 
 SONG_STATE = "id bigint, full_title string, lyrics_state string"
@@ -27,7 +33,8 @@ def _store_songs(queue: DataFrame, responses: DataFrame, table: str) -> dict[str
     """Answers to a queue of song ids, from `responses(id, seq, status, body)`."""
     # Parsed behind the join, so only the answers to the queue are.
     answers = answer(queue.distinct(), responses, ["id"])
-    parsed = answers.select("seq", "status", F.from_json("body", schemas.SONG).alias("song"))
+    song = whole_record(F.col("body"), schemas.SONG, dropped=TRIMMED_SONG_FIELDS)
+    parsed = answers.select("seq", "status", song.alias("song"))
     found = song_records(parsed)
     # Staged once, as every child table reads it.
     songs, _ = staged(dedupe(found, ["id"]))

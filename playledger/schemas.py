@@ -4,25 +4,40 @@ from __future__ import annotations
 
 EMBEDDING_DIM = 768
 
+# Fixed values below: field names of the services' records. What a record has besides the declared
+# fields is kept as one JSON text, OTHER_FIELDS.
+OTHER_FIELDS = "other_fields"
+
 PLAY = (
-    "name string, streamable string, url string, "
+    "name string, streamable string, url string, mbid string, loved string, "
     "artist struct<`#text`: string, mbid: string>, "
     "album struct<`#text`: string, mbid: string>, "
+    "image array<struct<size: string, `#text`: string>>, "
     "date struct<uts: string, `#text`: string>, "
     "`@attr` struct<nowplaying: string>"
 )
-PLAY_PAGE = f"recenttracks struct<track: array<struct<{PLAY}>>>"
+PLAY_PAGE = "recenttracks struct<track: array<string>>"
 
 SCROBBLES = (
     "song string, artist string, album string, artist__mbid string, album__mbid string, "
     "dt timestamp, url string"
 )
 
+_LINKS = "struct<spotify: string>"
+_IMAGES = "array<struct<url: string, height: bigint, width: bigint>>"
+_RECENT_ARTIST = (
+    f"struct<id: string, name: string, href: string, type: string, uri: string, external_urls: {_LINKS}>"
+)
 RECENT_PLAY = (
     "id string, name string, played_at timestamp, "
-    "artists array<struct<id: string, name: string>>, "
-    "album struct<id: string, name: string, available_markets: array<string>>, "
-    "available_markets array<string>"
+    f"artists array<{_RECENT_ARTIST}>, "
+    "album struct<id: string, name: string, album_type: string, href: string, release_date: string, "
+    "release_date_precision: string, total_tracks: bigint, type: string, uri: string, "
+    f"external_urls: {_LINKS}, images: {_IMAGES}, artists: array<{_RECENT_ARTIST}>, "
+    "available_markets: array<string>>, "
+    "available_markets array<string>, disc_number bigint, duration_ms bigint, explicit boolean, "
+    f"external_ids struct<isrc: string>, external_urls {_LINKS}, href string, is_local boolean, "
+    "popularity bigint, preview_url string, track_number bigint, type string, uri string"
 )
 
 SEARCH_HIT = (
@@ -47,18 +62,31 @@ MATCHES = (
 
 CATALOGUE = ("id bigint, title string, artist string")
 
-_ARTIST = "struct<id: bigint, name: string, url: string>"
+_ARTIST = (
+    "struct<api_path: string, header_image_url: string, id: bigint, image_url: string, "
+    "is_meme_verified: boolean, is_verified: boolean, name: string, url: string, iq: bigint>"
+)
 SONG = (
-    "id bigint, title string, full_title string, path string, url string, language string, "
-    "artist_names string, primary_artist_names string, lyrics_state string, release_date date, "
-    f"album struct<id: bigint, name: string, full_title: string, artist: {_ARTIST}, "
-    f"primary_artists: array<{_ARTIST}>>, "
+    "annotation_count bigint, api_path string, apple_music_id string, apple_music_player_url string, "
+    "artist_names string, description struct<plain: string>, embed_content string, full_title string, "
+    "header_image_thumbnail_url string, header_image_url string, id bigint, language string, "
+    "lyrics_owner_id bigint, lyrics_state string, path string, pending_lyrics_edits_count bigint, "
+    "primary_artist_names string, recording_location string, relationships_index_url string, "
+    "release_date date, release_date_for_display string, "
+    "release_date_with_abbreviated_month_for_display string, song_art_image_thumbnail_url string, "
+    "song_art_image_url string, song_art_primary_color string, song_art_secondary_color string, "
+    "song_art_text_color string, title string, title_with_featured string, url string, "
+    "album struct<api_path: string, cover_art_url: string, full_title: string, id: bigint, name: string, "
+    "primary_artist_names: string, release_date_for_display: string, url: string, "
+    f"artist: {_ARTIST}, primary_artists: array<{_ARTIST}>>, "
     f"primary_artist {_ARTIST}, primary_artists array<{_ARTIST}>, "
     f"featured_artists array<{_ARTIST}>, producer_artists array<{_ARTIST}>, "
     f"writer_artists array<{_ARTIST}>, "
     f"custom_performances array<struct<label: string, artists: array<{_ARTIST}>>>, "
-    "media array<struct<provider: string, type: string, url: string>>, "
-    "translation_songs array<struct<id: bigint, language: string, title: string, url: string>>"
+    "media array<struct<provider: string, start: bigint, type: string, url: string, native_uri: string, "
+    "attribution: string>>, "
+    "translation_songs array<struct<api_path: string, id: bigint, language: string, lyrics_state: string, "
+    "path: string, title: string, url: string>>"
 )
 
 LYRICS = ("id bigint, lyrics string")

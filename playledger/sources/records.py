@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playledger.functions.times import in_range
-from playledger.schemas import EMBEDDING_RESULT, PLAY_PAGE, RECENT_PLAY
+from playledger.schemas import EMBEDDING_RESULT, OTHER_FIELDS, PLAY, PLAY_PAGE, RECENT_PLAY
+
+
+def whole_record(body: Column, schema: str, dropped: Sequence[str] = ()) -> Column:
+    """A JSON object as a struct of its declared fields and `other_fields`.
+
+    `other_fields` is the JSON text of an object with every field that is neither declared nor
+    `dropped`, values as they were (keys inside them in order); null where there is none. So nothing is lost when a service
+    adds a field. A query that does not read it does not parse for it.
+    """
+    known = [field.name for field in T.StructType.fromDDL(schema).fields]
+    fields = F.from_json(body, "map<string, variant>")
+    others = F.map_filter(fields, lambda name, value: ~name.isin([*known, *dropped]))
+    others = F.when(F.size(others) > 0, F.to_json(others))
+    return F.from_json(body, schema).withField(OTHER_FIELDS, others)
 
 
 def explode_play_pages(pages: DataFrame) -> DataFrame:
-    """One row per track of the pages read with the play-page schema."""
-    return pages.select(F.explode("recenttracks.track").alias("track")).select("track.*")
+    """One row per track, with all its fields, of the pages read with the play-page schema."""
+    tracks = pages.select(F.explode("recenttracks.track").alias("body"))
+    return tracks.select(whole_record(F.col("body"), PLAY).alias("track")).select("track.*")
 
 
 def play_range(
@@ -40,7 +57,8 @@ def read_recent_plays(
     spark: SparkSession, path: str, *, before: int | None = None, after: int | None = None
 ) -> DataFrame:
     """Recent plays on one side of a bound in epoch milliseconds."""
-    return recent_range(spark.read.schema(RECENT_PLAY).json(path), before=before, after=after)
+    plays = spark.read.text(path).select(whole_record(F.col("value"), RECENT_PLAY).alias("play"))
+    return recent_range(plays.select("play.*"), before=before, after=after)
 
 
 def recent_range(

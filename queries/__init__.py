@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from queries import joins, jobs, nested, plays, texts, upserts, vectors  # noqa: F401
+from queries import joins, jobs, nested, plays, stages, texts, upserts, vectors  # noqa: F401
 from queries.registry import REGISTRY  # noqa: F401
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from playledger.functions.times import epoch_millis, week_start
-from playledger.operators.plays import clean_plays, drop_now_playing, with_play_time
+from playledger.operators.plays import HISTORY, clean_plays, drop_now_playing, with_play_time
 from playledger.operators.recents import recent_albums, recent_artists, recent_tracks
 from playledger.operators.upsert import dedupe, upsert
 from playledger.schemas import PLAY_PAGE
@@ -40,7 +40,7 @@ def raw_plays(read):
 
 
 def history(read):
-    return clean_plays(raw_plays(read))
+    return clean_plays(raw_plays(read)).select(*HISTORY)
 
 
 def shown(plays):
@@ -76,7 +76,7 @@ def cleaned_plays(read):
 )
 def plays_in_range(read):
     start, end = (datetime(2024, 1, day, tzinfo=timezone.utc) for day in (7, 21))
-    return shown(clean_plays(play_range(raw_plays(read), start, end)))
+    return shown(clean_plays(play_range(raw_plays(read), start, end)).select(*HISTORY))
 
 
 WEEK_SQL = "CAST(time_bucket(INTERVAL '7 days', make_timestamp(played * 1000000), TIMESTAMP '1970-01-04') AS DATE)"

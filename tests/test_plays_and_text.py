@@ -1,13 +1,14 @@
+import json
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from playledger.functions import text, times
-from playledger.operators.plays import clean_plays, drop_now_playing
+from playledger.operators.plays import HISTORY, clean_plays, drop_now_playing
 from playledger.operators.recents import recent_albums, recent_artists, recent_tracks
 from playledger.schemas import PLAY, RECENT_PLAY
-from playledger.sources.records import read_plays, read_recent_plays
+from playledger.sources.records import read_plays, read_recent_plays, whole_record
 from tests.conftest import rows
 
 UTC = timezone.utc
@@ -85,7 +86,7 @@ def play(**changes):
 
 def test_clean_plays(spark):
     df = spark.createDataFrame([play(), play(artist={"#text": "A"}, album={"#text": "B"})], PLAY)
-    got = rows(df.transform(clean_plays).withColumn("dt", F.col("dt").cast("string")))
+    got = rows(df.transform(clean_plays).select(*HISTORY).withColumn("dt", F.col("dt").cast("string")))
     assert got == [
         ("Weird Fishes", "A", "B", None, None, "2023-11-14 22:13:20", "u"),
         ("Weird Fishes", "Radiohead", "In Rainbows", "artist-mbid", "album-mbid", "2023-11-14 22:13:20", "u"),
@@ -147,8 +148,8 @@ def test_recent_parts(spark):
     assert rows(recent_tracks(df), "id", "name", "artist", "artist_id", "album", "album_id") == [
         ("t1", "song", "x", "a1", "al", "b1")
     ]
-    assert rows(recent_albums(df)) == [("b1", "al")]
-    assert rows(recent_artists(df)) == [("a1", "x")]
+    assert rows(recent_albums(df), "id", "name") == [("b1", "al")]
+    assert rows(recent_artists(df), "id", "name") == [("a1", "x")]
 
 
 def test_read_recent_plays(spark, scratch):
@@ -161,3 +162,26 @@ def test_read_recent_plays(spark, scratch):
     for bounds in ({}, {"before": 1, "after": 2}):
         with pytest.raises(ValueError):
             read_recent_plays(spark, scratch, **bounds)
+
+
+def test_whole_records_keep_undeclared_fields(spark):
+    body = '{"id": 1, "title": "t", "stats": {"a": 1}, "fresh": "1", "n": 1, "deep": {"b": [1, null], "a": 2.5}, "gone": null}'
+    df = spark.createDataFrame([(body,), ('{"id": 2}',), ("not json",), (None,)], "body string")
+    record = whole_record(F.col("body"), "id bigint, title string", dropped=["stats"])
+    got = [tuple(r) for r in df.select(record.alias("r")).select("r.id", "r.title", "r.other_fields").collect()]
+    assert got == [
+        (1, "t", '{"fresh":"1","n":1,"deep":{"a":2.5,"b":[1,null]},"gone":null}'),
+        (2, None, None),
+        (None, None, None),
+        (None, None, None),
+    ]
+
+
+def test_plays_keep_all_their_fields(spark, scratch):
+    track = {"name": "s", "streamable": "0", "url": "u", "mbid": "m", "artist": {"#text": "x"}, "album": {"#text": "y"},
+             "image": [{"size": "small", "#text": "i.png"}], "date": {"uts": "1769299200"}, "userloved": 1}
+    with open(f"{scratch}/page.json", "w") as f:
+        f.write(json.dumps({"recenttracks": {"track": [track, {**track, "@attr": {"nowplaying": "true"}}]}}) + "\n")
+    (row,) = read_plays(spark, scratch).transform(clean_plays).collect()
+    assert (row.song, row.artist, row.mbid, row.other_fields) == ("s", "x", "m", '{"userloved":1}')
+    assert [tuple(i) for i in row.image] == [("small", "i.png")] and row.attr__nowplaying is None
