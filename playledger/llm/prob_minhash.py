@@ -339,13 +339,16 @@ def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0
             F.least(F.lit(1.0), F.col("inside_a"), (F.col("met") + F.col("excess_a")) / F.col("total_a")),
         )
         bound = sum(1.0 / F.greatest(share, F.lit(1e-9)) for share in alone)
-        pairs = (
-            members.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("label_a")))
-            .filter(F.struct("place_a", "node_a") < F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")))
-            .filter(F.col("inside").isNull() | F.col("inside_a").isNull() | (bound <= within))
-            .select(F.col("node_a").alias("a"), F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
-            .distinct()
-        )
+        if turn == 0:
+            pairs = _first_pairs(members, pivots)
+        else:
+            pairs = (
+                members.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("label_a")))
+                .filter(F.struct("place_a", "node_a") < F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")))
+                .filter(F.col("inside").isNull() | F.col("inside_a").isNull() | (bound <= within))
+                .select(F.col("node_a").alias("a"), F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
+                .distinct()
+            )
         found = steps.put(verified(pairs, texts, least).distinct())
         last = pivots.groupBy("of").agg(F.max(F.struct("place_a", "node_a")).alias("last"), F.max("size").alias("size"))
         rest = members.join(last, F.col("bucket") == F.col("of")).filter(
@@ -378,6 +381,24 @@ def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0
         turn += 1
 
 
+def _first_pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Each text with the distinct pivots of all its buckets that come before it: (a, b, label_a, label_b).
+
+    A text is in BANDS buckets at most, of a few pivots each, and copies meet the same pivots in many of them; so these
+    are folded per text before they become rows.
+    """
+    heads = pivots.groupBy("of").agg(F.collect_list(F.struct("place_a", "node_a", "label_a")).alias("heads"))
+    met = members.join(heads, F.col("bucket") == F.col("of")).groupBy("node", "label", "place")
+    met = met.agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
+    before = F.filter(
+        "heads",
+        lambda h: (h["label_a"] != F.col("label"))
+        & ((h["place_a"] < F.col("place")) | ((h["place_a"] == F.col("place")) & (h["node_a"] < F.col("node")))),
+    )
+    pairs = met.select("node", "label", F.explode(before).alias("head"))
+    return pairs.select(F.col("head.node_a").alias("a"), F.col("node").alias("b"), F.col("head.label_a").alias("label_a"), F.col("label").alias("label_b"))
+
+
 def outside_buckets(split: DataFrame) -> DataFrame:
     """(bucket, node, label): a bucket for each of a text's shingles outside the pivots of any of its buckets.
 
@@ -451,7 +472,7 @@ def _labelled(worded: DataFrame, least: float) -> DataFrame:
     )
     bucketed = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "node")
     rows = BANDS * nodes.count()
-    members = Narrow(nodes.sparkSession, rows).put(several(bucketed.withColumn("label", F.col("node"))))
+    members = written(several(bucketed.withColumn("label", F.col("node"))))
     named = nodes.select("node", "least_id", "rows", F.col("node").alias("label"))
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("of")).distinct()
