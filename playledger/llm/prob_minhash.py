@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
@@ -22,6 +23,9 @@ UNITED = 8
 SALTED = 256
 FOLDS = 64
 TASK_ROWS = 1 << 20
+SEEN_BITS = 21
+"""Slots, as a power of two, of the table of shingles met in several texts: two bits each, 512 KB."""
+SEEN_GROUPS = 16
 KEPT_BYTES = 64 << 20
 _ROUNDING = 1e-12
 Shingles = tuple[np.ndarray, np.ndarray, float]
@@ -362,20 +366,21 @@ def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0
         if rest.isEmpty():
             return maps
         fresh = rest.filter("inside is null")
-        split = by_shingle = None
+        split = folded = by_shingle = None
         stays = rest.filter("inside is not null").select("bucket", "node", "label", "place", *measures)
         if not fresh.isEmpty():
             split = steps.put(outside_pivots(_with_pivots(fresh, pivots, texts), least))
             near = F.round(1.0 - F.col("inside"), 3) + chance / 1000.0
             stays = stays.unionByName(split.select("bucket", "node", "label", near.alias("place"), *measures))
-            by_shingle = steps.put(outside_buckets(split).select("bucket", "node", "label", chance.alias("place"), *unknown))
+            folded = steps.put(folded_shingles(split))
+            by_shingle = steps.put(outside_buckets(folded).select("bucket", "node", "label", chance.alias("place"), *unknown))
         ends = stays.groupBy(F.col("bucket").alias("of")).agg(
             F.min("total").alias("least_total"), F.max(F.col("excess") / F.col("total")).alias("most_excess")
         )
         reach = _reach(F.col("least_total"), F.col("most_excess"))
         stays = several(stays.join(ends, F.col("bucket") == F.col("of")).filter(reach <= within).drop("of", "least_total", "most_excess"))
         members = steps.put(stays if by_shingle is None else stays.unionByName(several(by_shingle)))
-        steps.drop(pivots, rest, split, by_shingle)
+        steps.drop(pivots, rest, split, folded, by_shingle)
         if members.isEmpty():
             return maps
         turn += 1
@@ -399,18 +404,76 @@ def _first_pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
     return pairs.select(F.col("head.node_a").alias("a"), F.col("node").alias("b"), F.col("head.label_a").alias("label_a"), F.col("label").alias("label_b"))
 
 
-def outside_buckets(split: DataFrame) -> DataFrame:
-    """(bucket, node, label): a bucket for each of a text's shingles outside the pivots of any of its buckets.
+def folded_shingles(split: DataFrame) -> DataFrame:
+    """node, label and the distinct shingles outside the pivots of any of a text's buckets.
 
     The same shingles come from many buckets of a text, and two texts need to meet at a shingle once only, so
     they are folded per text before they become rows: first over parts of its buckets, then over these.
     """
     united = F.array_distinct(F.flatten(F.collect_set("first"))).alias("first")
     parts = split.groupBy("node", "label", F.pmod("bucket", F.lit(FOLDS)).alias("part")).agg(united)
-    shingle = parts.groupBy("node", "label").agg(united).select("node", "label", F.explode("first").alias("shingle"))
+    return parts.groupBy("node", "label").agg(united)
+
+
+def outside_buckets(folded: DataFrame) -> DataFrame:
+    """(bucket, node, label): a bucket for each shingle of `folded(node, label, first)` that another text has.
+
+    Shingles that no other text has lead nowhere; most are left out before they become rows, by a table of hashed
+    slots that more than one text fills. It has a fixed size: where it fills up, more shingles become rows, and none
+    that two texts share is lost.
+    """
+    twice = shared_slots(folded)
+
+    def kept(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            values, cuts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            keep = twice[_slots(values.to_numpy(zero_copy_only=False))]
+            ends = np.concatenate(([0], np.cumsum(keep)))[cuts].astype(np.int32)
+            shared = pa.ListArray.from_arrays(pa.array(ends), values.filter(pa.array(keep)))
+            yield pa.record_batch([batch.column(0), batch.column(1), shared], ["node", "label", "first"])
+
+    shared = folded.mapInArrow(kept, "node binary, label binary, first array<bigint>")
+    shingle = shared.select("node", "label", F.explode("first").alias("shingle"))
     return shingle.select(F.xxhash64(F.lit("outside"), "shingle").alias("bucket"), "node", "label")
 
 
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (mix(values.astype(np.int64).view(np.uint64)) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+
+
+def shared_slots(folded: DataFrame) -> np.ndarray:
+    """Whether more than one shingle of `folded(first)` falls into a slot; each text has a shingle once."""
+    size = 1 << SEEN_BITS
+
+    def packed(once, twice):
+        rows = [[TaskContext.get().partitionId()], [np.packbits(once).tobytes()], [np.packbits(twice).tobytes()]]
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(("part", "once", "twice"), rows, (pa.int32(), pa.binary(), pa.binary()))})
+
+    def seen(batches):
+        count = np.zeros(size, np.uint8)
+        for batch in batches:
+            met = np.bincount(_slots(batch.column(0).flatten().to_numpy(zero_copy_only=False)), minlength=size)
+            count = np.minimum(count + np.minimum(met, 2).astype(np.uint8), 2)
+        yield packed(count > 0, count > 1).to_batches()[0]
+
+    def merged(table: pa.Table) -> pa.Table:
+        once, twice = np.zeros(size, bool), np.zeros(size, bool)
+        for a, b in zip(table.column("once").to_pylist(), table.column("twice").to_pylist()):
+            more, again = (np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool) for x in (a, b))
+            once, twice = once | more, twice | again | (once & more)
+        return packed(once, twice)
+
+    schema = "part int, once binary, twice binary"
+    parts = folded.select("first").mapInArrow(seen, schema).withColumn("set", F.pmod("part", F.lit(SEEN_GROUPS)))
+    rows = parts.groupBy("set").applyInArrow(lambda t: merged(t), schema).collect()
+    once, twice = np.zeros(size, bool), np.zeros(size, bool)
+    for r in rows:
+        more, again = (np.unpackbits(np.frombuffer(bytes(x), np.uint8)).astype(bool) for x in (r.once, r.twice))
+        once, twice = once | more, twice | again | (once & more)
+    return twice
+
+
 def several(members: DataFrame) -> DataFrame:
     """The buckets that hold more than one label."""
     ends = members.groupBy(F.col("bucket").alias("__of")).agg(F.min("label").alias("__low"), F.max("label").alias("__high"))
