@@ -22,6 +22,8 @@ MORE_PIVOTS = 16
 UNITED = 8
 SALTED = 256
 FOLDS = 64
+HEADS = 64
+MEASURES = ["inside", "met", "excess", "total"]
 TASK_ROWS = 1 << 20
 SEEN_BITS = 21
 """Slots, as a power of two, of the table of shingles met in several texts: two bits each, 512 KB."""
@@ -328,8 +330,7 @@ def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0
     maps, turn, steps = [], 0, Narrow(members.sparkSession, rows)
     within = 1.0 + 1.0 / least + 1e-9
     chance = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 40)) / float(1 << 40)
-    measures = ["inside", "met", "excess", "total"]
-    unknown = [F.lit(None).cast("double").alias(name) for name in measures]
+    unknown = [F.lit(None).cast("double").alias(name) for name in MEASURES]
     members = members.select("bucket", "node", "label", chance.alias("place"), *unknown)
     while True:
         few = FIRST_PIVOTS * MORE_PIVOTS ** max(0, turn - 1)
@@ -337,22 +338,8 @@ def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0
         sizes = members.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size"))
         leads = members.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= max(few, WHOLE_BUCKET))
         leads = leads.join(sizes, F.col("bucket") == F.col("of")).filter((F.col("rank") <= few) | (F.col("size") <= WHOLE_BUCKET))
-        pivots = steps.put(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *measures]), "rank", "size"))
-        alone = (
-            F.least(F.lit(1.0), F.col("inside"), (F.col("met_a") + F.col("excess")) / F.col("total")),
-            F.least(F.lit(1.0), F.col("inside_a"), (F.col("met") + F.col("excess_a")) / F.col("total_a")),
-        )
-        bound = sum(1.0 / F.greatest(share, F.lit(1e-9)) for share in alone)
-        if turn == 0:
-            pairs = _first_pairs(members, pivots)
-        else:
-            pairs = (
-                members.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("label_a")))
-                .filter(F.struct("place_a", "node_a") < F.struct(F.col("place").alias("place_a"), F.col("node").alias("node_a")))
-                .filter(F.col("inside").isNull() | F.col("inside_a").isNull() | (bound <= within))
-                .select(F.col("node_a").alias("a"), F.col("node").alias("b"), "label_a", F.col("label").alias("label_b"))
-                .distinct()
-            )
+        pivots = steps.put(leads.select("of", *(F.col(n).alias(f"{n}_a") for n in ["node", "label", "place", *MEASURES]), "rank", "size"))
+        pairs = _first_pairs(members, pivots) if turn == 0 else _later_pairs(members, pivots, within)
         found = steps.put(verified(pairs, texts, least).distinct())
         last = pivots.groupBy("of").agg(F.max(F.struct("place_a", "node_a")).alias("last"), F.max("size").alias("size"))
         rest = members.join(last, F.col("bucket") == F.col("of")).filter(
@@ -367,11 +354,11 @@ def near_links(members: DataFrame, texts: DataFrame, least: float, rows: int = 0
             return maps
         fresh = rest.filter("inside is null")
         split = folded = by_shingle = None
-        stays = rest.filter("inside is not null").select("bucket", "node", "label", "place", *measures)
+        stays = rest.filter("inside is not null").select("bucket", "node", "label", "place", *MEASURES)
         if not fresh.isEmpty():
             split = steps.put(outside_pivots(_with_pivots(fresh, pivots, texts), least))
             near = F.round(1.0 - F.col("inside"), 3) + chance / 1000.0
-            stays = stays.unionByName(split.select("bucket", "node", "label", near.alias("place"), *measures))
+            stays = stays.unionByName(split.select("bucket", "node", "label", near.alias("place"), *MEASURES))
             folded = steps.put(folded_shingles(split))
             by_shingle = steps.put(outside_buckets(folded).select("bucket", "node", "label", chance.alias("place"), *unknown))
         ends = stays.groupBy(F.col("bucket").alias("of")).agg(
@@ -404,6 +391,32 @@ def _first_pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
     return pairs.select(F.col("head.node_a").alias("a"), F.col("node").alias("b"), F.col("head.label_a").alias("label_a"), F.col("label").alias("label_b"))
 
 
+def _later_pairs(members: DataFrame, pivots: DataFrame, within: float) -> DataFrame:
+    """As `_first_pairs`, for buckets of shingles, of which a text may have many: without the pairs that the bound excludes.
+
+    Pivots are met in lists of HEADS. They are folded over parts of a text's buckets, so that no list grows
+    with the length of the text, and what is left of copies between the parts goes as rows.
+    """
+    head = F.struct(*(f"{n}_a" for n in ["node", "label", "place", *MEASURES]))
+    lists = pivots.groupBy("of", F.floor((F.col("rank") - 1) / HEADS).alias("list")).agg(F.collect_list(head).alias("heads"))
+
+    def open_pair(h):
+        alone = (
+            F.least(F.lit(1.0), F.col("inside"), (h["met_a"] + F.col("excess")) / F.col("total")),
+            F.least(F.lit(1.0), h["inside_a"], (F.col("met") + h["excess_a"]) / h["total_a"]),
+        )
+        bound = sum(1.0 / F.greatest(share, F.lit(1e-9)) for share in alone)
+        before = (h["place_a"] < F.col("place")) | ((h["place_a"] == F.col("place")) & (h["node_a"] < F.col("node")))
+        return (h["label_a"] != F.col("label")) & before & (F.col("inside").isNull() | h["inside_a"].isNull() | (bound <= within))
+
+    left = F.transform(F.filter("heads", open_pair), lambda h: F.struct(h["node_a"].alias("a"), h["label_a"].alias("label_a")))
+    met = members.join(lists, F.col("bucket") == F.col("of")).select("node", "label", "bucket", "list", left.alias("heads")).filter(F.size("heads") > 0)
+    parts = met.groupBy("node", "label", "list", F.pmod("bucket", F.lit(FOLDS)).alias("part"))
+    folded = parts.agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
+    pairs = folded.select("node", "label", F.explode("heads").alias("head"))
+    return pairs.select("head.a", F.col("node").alias("b"), "head.label_a", F.col("label").alias("label_b")).distinct()
+
+
 def folded_shingles(split: DataFrame) -> DataFrame:
     """node, label and the distinct shingles outside the pivots of any of a text's buckets.
 
