@@ -23,6 +23,7 @@ UNITED = 8
 SALTED = 256
 FOLDS = 64
 HEADS = 64
+PART_BUCKETS = 1024
 MEASURES = ["inside", "met", "excess", "total"]
 TASK_ROWS = 1 << 20
 SEEN_BITS = 21
@@ -394,9 +395,10 @@ def _first_pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
 def _later_pairs(members: DataFrame, pivots: DataFrame, within: float) -> DataFrame:
     """As `_first_pairs`, for buckets of shingles, of which a text may have many: without the pairs that the bound excludes.
 
-    Pivots are met in lists of HEADS. They are folded over parts of a text's buckets, so that no list grows
-    with the length of the text, and what is left of copies between the parts goes as rows.
+    Pivots are met in lists of HEADS. They are folded over parts of some PART_BUCKETS of a text's buckets, so that no
+    list grows with the length of the text; only a text with more buckets meets a pivot in several parts.
     """
+    sizes = members.groupBy(F.col("node").alias("__node")).agg(F.ceil(F.count(F.lit(1)) / PART_BUCKETS).alias("parts"))
     head = F.struct(*(f"{n}_a" for n in ["node", "label", "place", *MEASURES]))
     lists = pivots.groupBy("of", F.floor((F.col("rank") - 1) / HEADS).alias("list")).agg(F.collect_list(head).alias("heads"))
 
@@ -411,7 +413,8 @@ def _later_pairs(members: DataFrame, pivots: DataFrame, within: float) -> DataFr
 
     left = F.transform(F.filter("heads", open_pair), lambda h: F.struct(h["node_a"].alias("a"), h["label_a"].alias("label_a")))
     met = members.join(lists, F.col("bucket") == F.col("of")).select("node", "label", "bucket", "list", left.alias("heads")).filter(F.size("heads") > 0)
-    parts = met.groupBy("node", "label", "list", F.pmod("bucket", F.lit(FOLDS)).alias("part"))
+    part = F.pmod("bucket", "parts").alias("part")
+    parts = met.join(sizes, F.col("node") == F.col("__node")).groupBy("node", "label", "list", part)
     folded = parts.agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
     pairs = folded.select("node", "label", F.explode("heads").alias("head"))
     return pairs.select("head.a", F.col("node").alias("b"), "head.label_a", F.col("label").alias("label_b")).distinct()
