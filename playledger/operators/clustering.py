@@ -36,11 +36,15 @@ def model_centroids(embeddings: DataFrame, model: KMeansModel) -> DataFrame:
     return embeddings.sparkSession.createDataFrame(rows, CENTROIDS)
 
 
-def assign_clusters(embeddings: DataFrame, centroids: DataFrame) -> DataFrame:
-    """(id, cluster) of every embedding by its nearest stored centroid; ties to the lowest."""
+def assign_clusters(embeddings: DataFrame, centroids: DataFrame, keep: str = "id") -> DataFrame:
+    """(id, cluster) of every embedding by its nearest stored centroid; ties to the lowest.
+
+    `keep="embedding"` gives the vector, as doubles, in place of its id.
+    """
     clusters, centers = collect_centroids(centroids)
     cluster = nearest(F.col("embedding"), centers, clusters)
-    return embeddings.select(F.col("id").cast("long"), cluster.alias("cluster"))
+    kept = F.col("id").cast("long") if keep == "id" else F.col("embedding").cast("array<double>")
+    return embeddings.select(kept.alias(keep), cluster.alias("cluster"))
 
 
 def cluster_all(

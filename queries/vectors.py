@@ -13,6 +13,8 @@ from playledger.operators.checks import (
     trait_check,
 )
 from playledger.operators.clustering import assign_clusters, cluster_all, cluster_sizes
+from playledger.operators.lloyd import lloyd_step
+from playledger.operators.numbering import numbered
 from playledger.operators.scoring import embed_inline, score_traits
 from playledger.operators.upsert import upsert
 from queries.registry import query
@@ -67,6 +69,32 @@ def cluster_labels_merged(read):
     return upsert(stored, assign_clusters(embeddings(read), label_means(read)), ["id"])
 
 
+@query(
+    "M1 A6",
+    f"""WITH {NEAREST_SQL},
+    moved AS (SELECT a.cluster, pos, avg(value) AS mean FROM
+      (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) AS pos FROM embeddings)
+      JOIN assigned a USING (id) GROUP BY ALL)
+    SELECT c.cluster, CAST(p.pos - 1 AS BIGINT) AS pos, round(coalesce(m.mean, c.centroid[p.pos]), 6) AS mean
+    FROM centroids c, (SELECT unnest(range(1, {DIM} + 1)) AS pos) p LEFT JOIN moved m ON m.cluster = c.cluster AND m.pos = p.pos""",
+)
+def centers_after_a_step(read):
+    """One Lloyd step from the mean of every label, over all vectors."""
+    moved = lloyd_step(embeddings(read), label_means(read)).select("cluster", F.posexplode("centroid").alias("pos", "mean"))
+    return moved.select("cluster", F.col("pos").cast("long").alias("pos"), F.round("mean", 6).alias("mean"))
+
+
+@query(
+    "R3",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice,
+    row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) - 1 AS row_index FROM lineitem""",
+)
+def lines_by_price(read):
+    """Every order line with its position by price."""
+    lines = read("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return numbered(lines, [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"])
+
+
 @query("M1 M4 A6")
 def refitted_clusters(read):
     labels, _ = cluster_all(embeddings(read))
