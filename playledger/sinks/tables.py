@@ -20,6 +20,7 @@ from playledger.session import ensure_checkpoint_dir
 from playledger.sources.tables import finish_swap
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+KEY_BUCKET = "key_bucket"
 
 
 def staged(df: DataFrame) -> tuple[DataFrame, int]:
@@ -158,6 +159,36 @@ def merge_nested(incoming: dict[str, DataFrame], root: str, keys: Sequence[str])
     return counts
 
 
+def _key_bucket(buckets: int) -> Column:
+    """The bucket of an id, alike for all types of the same id; rows without one share a bucket."""
+    return F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(buckets)).cast("int")
+
+
+def _load_buckets(fresh: DataFrame, table: str, only_if_changed: bool) -> dict[str, int]:
+    """Merges into the touched buckets of a table and overwrites those in which a row changed.
+
+    The numbers of the touched buckets, at most as many as the table has, select its partitions
+    before anything is read. What is written was staged, so a load that fails is repeated as it was.
+    """
+    spark = fresh.sparkSession
+    kept = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == f"{KEY_BUCKET}s").first()
+    if kept is None:
+        raise ValueError(f"{table} has a column {KEY_BUCKET} but no number of buckets")
+    bucket = _key_bucket(int(kept["value"]))
+    touched = [r[0] for r in fresh.select(bucket).distinct().collect()]
+    if not touched:
+        return {}
+    old = spark.table(table).where(F.col(KEY_BUCKET).isin(touched))
+    merged = merge_with_actions(old, fresh, "id", "embedding", only_if_changed=only_if_changed)
+    merged, _ = staged(merged.withColumn(KEY_BUCKET, bucket))
+    counts = {r["merge_action"]: r["rows"] for r in action_counts(merged).collect()}
+    changed = merged.where("merge_action <> 'KEEP'").select(F.col(KEY_BUCKET).alias("_changed")).distinct()
+    if counts:
+        whole = merged.join(F.broadcast(changed), F.col(KEY_BUCKET) == F.col("_changed"), "left_semi")
+        _overwrite_partitions(whole.select(*spark.table(table).columns).repartition(KEY_BUCKET), table)
+    return counts
+
+
 def load_embeddings(
     incoming: DataFrame,
     table: str,
@@ -165,11 +196,14 @@ def load_embeddings(
     only_if_changed: bool,
     unique_source: bool = False,
     order: Sequence[Column | str] | None = None,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """Inserts new embeddings and updates known ones; returns rows per action.
 
     `only_if_changed` rewrites a row only when its vector differs. `unique_source` rejects an
-    input with repeated ids instead of keeping one row of each.
+    input with repeated ids instead of keeping one row of each. `buckets` makes a new table one
+    of that many partitions by a hash of the id (`key_bucket`, a column of the table); a later
+    load of such a table reads and rewrites the buckets it touches only, whatever `buckets` says.
     """
     spark = incoming.sparkSession
     finish_swap(spark, table)
@@ -177,8 +211,17 @@ def load_embeddings(
         require_unique(incoming, ["id"], "incoming embeddings")
     fresh, rows = staged(dedupe(incoming.select("id", "embedding"), ["id"], order))
     if not spark.catalog.tableExists(table):
-        _write(fresh, table, "errorifexists")
-        return {"INSERT": rows} if rows else {}
+        if not buckets:
+            _write(fresh, table, "errorifexists")
+            return {"INSERT": rows} if rows else {}
+        # made empty with its number of buckets, so that a load that fails leaves a table the next one can use
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema.fields)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}, {KEY_BUCKET} INT) USING parquet "
+            f"PARTITIONED BY ({KEY_BUCKET}) TBLPROPERTIES ('{KEY_BUCKET}s' = '{int(buckets)}')"
+        )
+    if KEY_BUCKET in spark.table(table).columns:
+        return _load_buckets(fresh, table, only_if_changed)
     merged, _ = staged(
         merge_with_actions(
             spark.table(table), fresh, "id", "embedding", only_if_changed=only_if_changed

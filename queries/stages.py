@@ -275,6 +275,26 @@ def stored_extraction(read):
     return run.result(run.spark.table(run.tables.embeddings()).select("id", F.posexplode("embedding").alias("at", "value")))
 
 
+@query(
+    "K6 K11 J8 A2 K13",
+    """WITH parts AS (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
+    SELECT id, CAST(pos AS INTEGER) AS pos, CASE WHEN id % 3 = 0 THEN value ELSE -value END AS value
+      FROM parts WHERE id % 2 = 0 OR id % 3 = 0
+    UNION ALL SELECT -1, 0, count(*) FROM embeddings WHERE vec_id % 3 = 0 AND vec_id % 2 = 1
+    UNION ALL SELECT -2, 0, count(*) FROM embeddings WHERE vec_id % 6 = 0""",
+)
+def stored_buckets(read):
+    """Vectors merged into a table of key buckets, with the rows per action as ids -1 (inserted) and -2 (updated)."""
+    run = Stored(read)
+    own, name = embeddings(read), run.tables.embeddings()
+    negated = F.transform("embedding", lambda x: -x)
+    load_embeddings(own.where("id % 2 = 0").select("id", negated.alias("embedding")), name, only_if_changed=True, buckets=16)
+    counts = load_embeddings(own.where("id % 3 = 0"), name, only_if_changed=True)
+    told = [(-1, 0, float(counts.get("INSERT", 0))), (-2, 0, float(counts.get("UPDATE", 0)))]
+    stored = run.spark.table(name).select("id", F.posexplode("embedding").alias("pos", "value"))
+    return run.result(stored.unionByName(run.spark.createDataFrame(told, "id long, pos int, value double")))
+
+
 @query(
     "M4 M3 K9 K10 S4 S5 Q8 F8 A1",
     f"""WITH {NEAREST_SQL} SELECT id, CASE WHEN id % 3 = 0 THEN 7 ELSE cluster END AS cluster FROM assigned
