@@ -141,6 +141,8 @@ def test_a_family_around_the_limit_is_split_without_losing_a_link(spark, monkeyp
     monkeypatch.setattr(prob_minhash, "FIRST_PIVOTS", 2)
     monkeypatch.setattr(prob_minhash, "MORE_PIVOTS", 2)
     monkeypatch.setattr(prob_minhash, "SALTED", 16)
+    monkeypatch.setattr(prob_minhash, "HEADS", 3)
+    monkeypatch.setattr(prob_minhash, "PART_BUCKETS", 2)
     rng = random.Random(5)
     base = [f"w{k}" for k in range(80)]
     other = base[:30] + [f"v{k}" for k in range(40)]
