@@ -12,6 +12,7 @@ from playledger.operators.validate import MAX_JOB_ROWS
 from playledger.schemas import EMBEDDING_DIM
 
 MAX_JOBS = 100
+MAX_BROADCAST_FILES = 10_000
 MODEL = "gemini-embedding-2"
 
 
@@ -106,3 +107,27 @@ def extract_results(jobs: DataFrame, results: DataFrame) -> DataFrame:
     files = route_jobs(jobs).where("action = 'extract'").select("file_name").distinct()
     wanted = results.join(files, "file_name", "left_semi")
     return wanted.select(F.col("id").cast("long").alias("id"), "embedding")
+
+
+def files_to_extract(jobs: DataFrame, extracted: DataFrame) -> DataFrame:
+    """(name, file_name) of the jobs to extract whose file is not in `extracted` yet.
+
+    `jobs` has (name, state, file_name, has_dest). A job without a name has no folder and is left
+    out; a job that reports another file is extracted again.
+    """
+    wanted = route_jobs(jobs).where("action = 'extract' AND name IS NOT NULL")
+    files = wanted.select("name", "file_name").distinct()
+    return files.join(extracted.select("name", "file_name"), ["name", "file_name"], "left_anti")
+
+
+def extract_files(files: DataFrame, n_files: int, results: DataFrame) -> DataFrame:
+    """(id, embedding) of `results(id, embedding, file_name, job)` in the given files.
+
+    Up to `MAX_BROADCAST_FILES` file names travel to the scan, which then reads the folders of
+    their jobs only; more of them are joined by a shuffle and every folder is read.
+    """
+    named = files.select(F.col("name").alias("job"), "file_name").where("job IS NOT NULL AND file_name > ''")
+    if n_files <= MAX_BROADCAST_FILES:
+        named = F.broadcast(named)
+    wanted = results.join(named, ["job", "file_name"], "left_semi")
+    return wanted.select(F.col("id").cast("long").alias("id"), "embedding")

@@ -41,6 +41,14 @@ class Tables:
     def jobs(self, task: str | None = None) -> str:
         return f"{self.embeddings(task)}_jobs"
 
+    def extracted(self, task: str | None = None) -> str:
+        """Result files already in the embedding table of a task."""
+        return f"{self.embeddings(task)}_extracted"
+
+    @property
+    def clustering(self) -> str:
+        return f"{self.library}.lyrics_clustering"
+
     @property
     def clusters(self) -> str:
         return f"{self.library}.lyrics_clusters"

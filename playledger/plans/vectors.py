@@ -13,7 +13,9 @@ from playledger.operators.clustering import (
     cluster_all,
 )
 from playledger.operators.embedding_jobs import (
+    extract_files,
     extract_results,
+    files_to_extract,
     job_records,
     refresh_jobs,
     request_lines,
@@ -22,8 +24,9 @@ from playledger.operators.embedding_jobs import (
 from playledger.operators.queues import embeddings_without_cluster, finished_jobs, lyrics_without
 from playledger.operators.validate import check_contents
 from playledger.plans.tables import Tables
+from playledger.sinks.publish import publish_clustering
 from playledger.sinks.tables import append, load, replace, staged, write_clustering
-from playledger.sources.records import read_embedding_results
+from playledger.sources.records import read_embedding_results, read_job_results
 from playledger.sources.tables import read_centroids, read_embeddings, table_or_empty
 
 JOBS_PER_RUN = 4
@@ -59,6 +62,31 @@ def extract_embeddings(
     return load(found, tables.embeddings(task), format)
 
 
+def extract_new_embeddings(
+    spark: SparkSession,
+    tables: Tables,
+    results_path: str,
+    files: DataFrame,
+    task: str | None = None,
+    format: str = "table",
+) -> dict[str, int]:
+    """As `extract_embeddings`, each result file once, from a folder `job=<name>` per job.
+
+    The files are noted after the load: a run that fails in between loads them again, by key, and
+    one that has nothing new reads no results and returns `{}`.
+    """
+    jobs = finished_jobs(table_or_empty(spark, tables.jobs(task), schemas.JOBS))
+    extracted = table_or_empty(spark, tables.extracted(task), schemas.EXTRACTED)
+    done = jobs.select("name", "state").join(files, "name")
+    fresh, n_files = staged(files_to_extract(done, extracted))
+    if not n_files:
+        return {}
+    found = extract_files(fresh, n_files, read_job_results(spark, results_path))
+    counts = load(found, tables.embeddings(task), format)
+    append(fresh, tables.extracted(task))
+    return counts
+
+
 def submit_embedding_jobs(
     spark: SparkSession,
     tables: Tables,
@@ -89,8 +117,12 @@ def cluster_lyrics(
     n_clusters: int = N_CLUSTERS,
     seed: int = RANDOM_SEED,
     dim: int = schemas.EMBEDDING_DIM,
+    published: bool = False,
 ) -> dict[str, int]:
-    """Clusters all embeddings anew, or labels the new ones by the stored centroids."""
+    """Clusters all embeddings anew, or labels the new ones by the stored centroids.
+
+    `published` keeps labels and centroids as versions that readers see change at one moment.
+    """
     embeddings = read_embeddings(spark, tables.embeddings("clustering"), dim)
     if not replace_all:
         embeddings = embeddings_without_cluster(
@@ -103,4 +135,8 @@ def cluster_lyrics(
     else:
         centroids = read_centroids(spark, tables.centroids, dim)
         labels = assign_clusters(embeddings, centroids)
+    if published:
+        return publish_clustering(
+            labels, centroids, tables.clusters, tables.centroids, tables.clustering, replace_all
+        )
     return write_clustering(labels, centroids, tables.clusters, tables.centroids, replace_all)

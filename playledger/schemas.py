@@ -102,6 +102,8 @@ JOBS = (
     "create_time timestamp, start_time timestamp, end_time timestamp, update_time timestamp"
 )
 
+EXTRACTED = ("name string, file_name string")
+
 LABELS = ("id bigint, cluster bigint")
 CENTROIDS = ("cluster bigint, centroid array<double>")
 

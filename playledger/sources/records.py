@@ -82,9 +82,21 @@ def parse_embedding_results(lines: DataFrame, column: str = "value") -> DataFram
 
 def read_embedding_results(spark: SparkSession, path: str) -> DataFrame:
     """(id, embedding, file) of every result file under `path`."""
-    results = spark.read.schema(EMBEDDING_RESULT).json(path)
+    return _result_rows(spark.read.schema(EMBEDDING_RESULT).json(path))
+
+
+def read_job_results(spark: SparkSession, path: str) -> DataFrame:
+    """(id, embedding, file_name, job) of results in a folder `job=<name>` per job.
+
+    A filter on `job`, also one that a join brings at run time, leaves other folders unread.
+    """
+    return _result_rows(spark.read.schema(f"{EMBEDDING_RESULT}, job string").json(path), "job")
+
+
+def _result_rows(results: DataFrame, *kept: str) -> DataFrame:
     return results.select(
         F.col("key").alias("id"),
         F.col("response.embedding.values").alias("embedding"),
         F.col("_metadata.file_name").alias("file_name"),
+        *kept,
     )

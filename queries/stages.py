@@ -13,8 +13,9 @@ from playledger.operators.responses import TRIMMED_SONG_FIELDS
 from playledger.plans import library, listening, quality, vectors
 from playledger.plans.tables import Tables
 from playledger.session import ensure_checkpoint_dir
+from playledger.sinks.publish import publish
 from playledger.sinks.tables import append, load_embeddings, merge, merge_nested, replace, staged
-from playledger.sources.records import read_embedding_results
+from playledger.sources.records import read_embedding_results, read_job_results
 from playledger.sources.tables import read_parquet_files, read_table
 from queries.nested import HITS_SQL, search_responses
 from queries.plays import HISTORY, RAW_SQL, raw_plays, shown
@@ -275,6 +276,41 @@ def stored_extraction(read):
     return run.result(run.spark.table(run.tables.embeddings()).select("id", F.posexplode("embedding").alias("at", "value")))
 
 
+@query(
+    "M7 F17 F20 S8 K7 K13",
+    """SELECT vec_id AS id, CAST(pos AS INTEGER) AS pos, value FROM (
+      SELECT vec_id, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) - 1 AS pos
+      FROM embeddings WHERE label % 3 <> 2)
+    UNION ALL SELECT -1, 0, count(*) FROM embeddings WHERE label % 3 = 0
+    UNION ALL SELECT -2, 0, count(*) FROM embeddings WHERE label % 3 = 1
+    UNION ALL SELECT -3, 0, 0""",
+)
+def stored_extraction_once(read):
+    """Each result file loaded once: whole vectors, and the rows loaded by three runs as ids -1 to -3.
+
+    Two jobs end before the first and the second run, the third never does; its results are in place all the while.
+    """
+    run = Stored(read)
+    third = (F.col("label") % 3).alias("third")
+    labelled = read("embeddings").select(F.col("vec_id").alias("id"), third)
+    line = embeddings(read).join(labelled, "id").select(
+        F.to_json(F.struct(F.col("id").cast("string").alias("key"), F.struct(F.struct(F.col("embedding").alias("values")).alias("embedding")).alias("response"))).alias("value"),
+        F.concat(F.lit("batches/"), F.col("third").cast("string")).alias("job"),
+    )
+    path = f"{run.folder}/results"
+    line.write.partitionBy("job").text(path)
+    files = read_job_results(run.spark, path).select(F.col("job").alias("name"), "file_name", F.lit(True).alias("has_dest")).distinct()
+    counts = []
+    for ended in (0, 1, 1):
+        state = F.when(F.col("third") <= ended, "JOB_STATE_SUCCEEDED").otherwise("JOB_STATE_RUNNING")
+        jobs = labelled.select("third").distinct().select(F.concat(F.lit("batches/"), F.col("third").cast("string")).alias("name"), state.alias("state"))
+        replace(jobs, run.tables.jobs())
+        loaded = vectors.extract_new_embeddings(run.spark, run.tables, path, files)
+        counts.append((-1 - len(counts), 0, float(sum(loaded.values()))))
+    stored = run.spark.table(run.tables.embeddings()).select("id", F.posexplode("embedding").alias("pos", "value"))
+    return run.result(stored.unionByName(run.spark.createDataFrame(counts, "id long, pos int, value double")))
+
+
 @query(
     "K6 K11 J8 A2 K13",
     """WITH parts AS (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
@@ -312,6 +348,21 @@ def stored_clusters(read):
     return run.result(run.spark.table(run.tables.clusters))
 
 
+@query(
+    "K3 K9 K10 M4 M3 S4 S5 Q8 F8",
+    f"""WITH {NEAREST_SQL} SELECT id, CASE WHEN id % 3 = 0 THEN 7 ELSE cluster END AS cluster FROM assigned""",
+)
+def published_clusters(read):
+    """As `stored_clusters`, with labels and centers as published versions: a first pair, the new labels beside its centers."""
+    run = Stored(read)
+    run.put(embeddings(read), run.tables.embeddings("clustering"))
+    labelled = embeddings(read).where("id % 3 = 0").select("id", F.lit(7).cast("long").alias("cluster"))
+    publish({run.tables.centroids: label_means(read), run.tables.clusters: labelled}, run.tables.clustering)
+    for _ in range(2):
+        vectors.cluster_lyrics(run.spark, run.tables, dim=DIM, published=True)
+    return run.result(run.spark.table(run.tables.clusters))
+
+
 @query(
     "C1 C2 C3 A3 S4",
     """SELECT 'embeddings_have_expected_dim' AS "check", 'lyrics_embed' AS "table", count(*) = 0 AS passed, count(*) AS bad_rows
