@@ -74,5 +74,9 @@ def lyrics_records(responses: DataFrame) -> DataFrame:
 
 
 def answer(queue: DataFrame, responses: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The queue's responses, found by key."""
-    return queue.join(responses, list(keys))
+    """The queue's responses, found by key.
+
+    Responses carry whole texts, of which Spark knows no size before they are made, so they are
+    never broadcast: both sides are shuffled.
+    """
+    return queue.join(responses.hint("merge"), list(keys))

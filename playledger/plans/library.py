@@ -23,7 +23,7 @@ from playledger.operators.scoring import REQUEST_ROWS, Scorer, score_traits
 from playledger.operators.upsert import dedupe
 from playledger.plans.tables import Tables
 from playledger.sinks.tables import append, merge, merge_nested, staged
-from playledger.sources.records import whole_record
+from playledger.sources.records import whole_records
 from playledger.sources.tables import table_or_empty
 
 SONG_STATE = "id bigint, full_title string, lyrics_state string"
@@ -32,10 +32,8 @@ SONG_STATE = "id bigint, full_title string, lyrics_state string"
 def _store_songs(queue: DataFrame, responses: DataFrame, table: str) -> dict[str, int]:
     """Answers to a queue of song ids, from `responses(id, seq, status, body)`."""
     # Parsed behind the join, so only the answers to the queue are.
-    answers = answer(queue.distinct(), responses, ["id"])
-    song = whole_record(F.col("body"), schemas.SONG, dropped=TRIMMED_SONG_FIELDS)
-    parsed = answers.select("seq", "status", song.alias("song"))
-    found = song_records(parsed)
+    answers = answer(queue.distinct(), responses, ["id"]).select("seq", "status", "body")
+    found = song_records(whole_records(answers, "body", schemas.SONG, "song", dropped=TRIMMED_SONG_FIELDS))
     # Staged once, as every child table reads it.
     songs, _ = staged(dedupe(found, ["id"]))
     return merge_nested(normalize(songs, table, ["id"]), table, ["id"])

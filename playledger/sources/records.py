@@ -13,6 +13,13 @@ from playledger.functions.times import in_range
 from playledger.schemas import EMBEDDING_RESULT, OTHER_FIELDS, PLAY, PLAY_PAGE, RECENT_PLAY
 
 
+def _others(fields: Column, schema: str, dropped: Sequence[str]) -> Column:
+    """JSON text of the fields of an object that are neither declared nor dropped; null without any."""
+    known = [field.name for field in T.StructType.fromDDL(schema).fields]
+    others = F.map_filter(fields, lambda name, value: ~name.isin([*known, *dropped]))
+    return F.when(F.size(others) > 0, F.to_json(others))
+
+
 def whole_record(body: Column, schema: str, dropped: Sequence[str] = ()) -> Column:
     """A JSON object as a struct of its declared fields and `other_fields`.
 
@@ -20,11 +27,19 @@ def whole_record(body: Column, schema: str, dropped: Sequence[str] = ()) -> Colu
     `dropped`, values as they were (keys inside them in order); null where there is none. So nothing is lost when a service
     adds a field. A query that does not read it does not parse for it.
     """
-    known = [field.name for field in T.StructType.fromDDL(schema).fields]
     fields = F.from_json(body, "map<string, variant>")
-    others = F.map_filter(fields, lambda name, value: ~name.isin([*known, *dropped]))
-    others = F.when(F.size(others) > 0, F.to_json(others))
-    return F.from_json(body, schema).withField(OTHER_FIELDS, others)
+    return F.from_json(body, schema).withField(OTHER_FIELDS, _others(fields, schema, dropped))
+
+
+def whole_records(rows: DataFrame, body: str, schema: str, name: str, dropped: Sequence[str] = ()) -> DataFrame:
+    """`rows` with their column `body` read as the struct `name`, as `whole_record` reads it.
+
+    For records of which most fields are read: a text is parsed once for them and once for the
+    others, however many columns and filters follow, and no filter on them is moved below a join.
+    """
+    read = F.struct(F.from_json(body, schema).alias("known"), F.from_json(body, "map<string, variant>").alias("fields"))
+    whole = F.transform(F.array(read), lambda one: one["known"].withField(OTHER_FIELDS, _others(one["fields"], schema, dropped)))
+    return rows.withColumn(name, F.explode(whole)).drop(body)
 
 
 def explode_play_pages(pages: DataFrame) -> DataFrame:
