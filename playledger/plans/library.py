@@ -31,8 +31,9 @@ SONG_STATE = "id bigint, full_title string, lyrics_state string"
 
 def _store_songs(queue: DataFrame, responses: DataFrame, table: str) -> dict[str, int]:
     """Answers to a queue of song ids, from `responses(id, seq, status, body)`."""
-    # Parsed behind the join, so only the answers to the queue are.
-    answers = answer(queue.distinct(), responses, ["id"]).select("seq", "status", "body")
+    asked, rows = staged(queue.distinct())
+    # Parsed behind the join, so only the answers to the queue are; where nothing is asked, no response is read.
+    answers = answer(asked, responses if rows else responses.limit(0), ["id"]).select("seq", "status", "body")
     found = song_records(whole_records(answers, "body", schemas.SONG, "song", dropped=TRIMMED_SONG_FIELDS))
     # Staged once, as every child table reads it.
     songs, _ = staged(dedupe(found, ["id"]))
