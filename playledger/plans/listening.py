@@ -79,8 +79,9 @@ def load_recents(
 ) -> dict[str, int]:
     """Recent plays as merged track, album and artist tables."""
     plays = read_recent_plays(spark, path, before=before, after=after)
+    # Tracks keep nearly all fields of a play; albums and artists read one field each.
     parts = {
-        "tracks": recent_tracks(plays),
+        "tracks": recent_tracks(read_recent_plays(spark, path, before=before, after=after, whole=True)),
         "albums": recent_albums(plays),
         "artists": recent_artists(plays),
     }

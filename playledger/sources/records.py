@@ -69,10 +69,18 @@ def read_plays(
 
 
 def read_recent_plays(
-    spark: SparkSession, path: str, *, before: int | None = None, after: int | None = None
+    spark: SparkSession, path: str, *, before: int | None = None, after: int | None = None, whole: bool = False
 ) -> DataFrame:
-    """Recent plays on one side of a bound in epoch milliseconds."""
-    plays = spark.read.text(path).select(whole_record(F.col("value"), RECENT_PLAY).alias("play"))
+    """Recent plays on one side of a bound in epoch milliseconds.
+
+    `whole` is for readers of most fields: each record is parsed once for all of them. Otherwise
+    it is parsed for the fields that are read, once for each of them.
+    """
+    lines = spark.read.text(path)
+    if whole:
+        plays = whole_records(lines, "value", RECENT_PLAY, "play")
+    else:
+        plays = lines.select(whole_record(F.col("value"), RECENT_PLAY).alias("play"))
     return recent_range(plays.select("play.*"), before=before, after=after)
 
 
