@@ -9,8 +9,9 @@ same ids. Nothing here shuffles: a child row is made where its parent row is.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +100,33 @@ def _children(parents: DataFrame, table: str, lists) -> dict[str, DataFrame]:
     return tables
 
 
+def _fold_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per parent in a batch: its number of rows and its distinct values."""
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        values = rows.group_by([PARENT_ID, "value"], use_threads=False).aggregate([([], "count_all")])
+        folded = values.group_by([PARENT_ID], use_threads=False).aggregate([("count_all", "sum"), ("value", "list")])
+        folded = folded.select([PARENT_ID, "count_all_sum", "value_list"]).rename_columns([PARENT_ID, "rows", "values"])
+        yield from folded.combine_chunks().to_batches()
+
+
+def count_values(children: DataFrame) -> DataFrame:
+    """Rows and distinct values per parent of a plain list's child table: `_dlt_parent_id, rows, distinct_values`.
+
+    The children of a parent lie together where it is, so they are folded there: one row per
+    parent is shuffled, with its id once, not one per value. A parent whose children come from
+    several batches or records is merged behind the shuffle.
+    """
+    values = children.select(PARENT_ID, "value")
+    kind = values.schema["value"].dataType.simpleString()
+    folded = values.mapInArrow(_fold_values, f"{PARENT_ID} string, rows bigint, values array<{kind}>")
+    # Shuffled as they are: a fold in the map tasks would sort them for next to nothing.
+    by_parent = folded.repartition(PARENT_ID).groupBy(PARENT_ID)
+    merged = by_parent.agg(F.sum("rows").alias("rows"), F.collect_list("values").alias("values"))
+    distinct = F.size(F.array_distinct(F.flatten("values"))).cast("long")
+    return merged.select(PARENT_ID, "rows", distinct.alias("distinct_values"))
+
+
 def merge_children(target: DataFrame, incoming: DataFrame, roots: DataFrame) -> DataFrame:
     """Child rows follow their root: those of the rewritten roots are replaced as a whole."""
     rewritten = roots.select(F.col(ROW_ID).alias(ROOT_ID))

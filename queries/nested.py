@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playledger.functions.vectors import fixed_width
-from playledger.operators.normalize import normalize
+from playledger.operators.normalize import count_values, normalize
 from playledger.operators.searches import parse_hits, search_hits
 from playledger.sources.records import parse_embedding_results
 from queries.registry import query
@@ -124,13 +124,7 @@ def normalized_words_per_line(read):
     """Grandchild rows counted per line, found through their parent ids."""
     tables = normalize(nested_documents(read), "docs", ["id"])
     roots = tables["docs"].select("id", F.col("_dlt_id").alias("_dlt_root_id"))
-    # One row per word of a line, then one per line: a hot word never gathers in one task.
-    words = tables["docs__lines__words"].groupBy("_dlt_parent_id", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    counted = words.groupBy("_dlt_parent_id").agg(
-        F.sum("n").alias("words"), F.count(F.lit(1)).alias("distinct_words")
-    )
+    counted = count_values(tables["docs__lines__words"]).withColumnsRenamed({"rows": "words", "distinct_values": "distinct_words"})
     lines = tables["docs__lines"].select(
         F.col("_dlt_id").alias("_dlt_parent_id"), "_dlt_root_id", F.col("_dlt_list_idx").alias("idx")
     )
