@@ -157,13 +157,17 @@ def _split(states: DataFrame, shifted: bool) -> DataFrame:
 
 
 def _meet(queries: DataFrame, candidates: DataFrame, slack: int) -> DataFrame:
-    """Pairs of a block that pass the length test and Spark's banded edit distance."""
+    """Pairs of a block that pass the length test and Spark's banded edit distance.
+
+    Never broadcast, nor is any join below: one text is in many blocks, so a side that looks
+    small compressed is large in the driver, and the joins of all rounds run at once.
+    """
     left = queries.select("block", F.col("text").alias("query"))
     right = candidates.drop("parts").withColumnRenamed("text", "candidate")
     total = "length(query) + length(candidate)"
     allowed = _allowed(total, slack)
     return (
-        left.join(right, "block")
+        left.join(right.hint("merge"), "block")
         .where(F.expr(f"abs(length(query) - length(candidate)) <= {allowed}"))
         .where(F.expr(f"levenshtein(query, candidate, {allowed}) >= 0"))
         .drop("block")
@@ -187,22 +191,22 @@ def near_pairs(
         asked, offered = _split(asked, shifted=True), _split(offered, shifted=False)
         sizes = offered.where(_can_split()).groupBy("block").agg(F.count(F.lit(1)).alias("rows"))
         probed = asked.where(_can_split()).select("block").distinct()
-        crowded = sizes.where(F.col("rows") > max_block).join(probed, "block", "left_semi")
+        crowded = sizes.where(F.col("rows") > max_block).join(probed.hint("merge"), "block", "left_semi")
         crowded = crowded.select("block").checkpoint()
         last = crowded.isEmpty()
         ready = offered
         if not last:
             splittable = offered.withColumn("_split", _can_split())
             ready = splittable.where("NOT _split").unionByName(
-                splittable.where("_split").join(crowded, "block", "left_anti")
+                splittable.where("_split").join(crowded.hint("merge"), "block", "left_anti")
             ).drop("_split")
         met = _meet(asked, ready, slack)
         pairs = met if pairs is None else pairs.unionByName(met)
         if last:
             break
         # Only crowded blocks go on; checkpoints keep the next round's plan short.
-        asked = asked.where(_can_split()).join(crowded, "block", "left_semi").checkpoint()
-        offered = offered.where(_can_split()).join(crowded, "block", "left_semi").checkpoint()
+        asked = asked.where(_can_split()).join(crowded.hint("merge"), "block", "left_semi").checkpoint()
+        offered = offered.where(_can_split()).join(crowded.hint("merge"), "block", "left_semi").checkpoint()
     total = F.length("query") + F.length("candidate")
     scored = pairs.withColumn("score", rounded_ratio(indel_distance("query", "candidate"), total))
     return scored.where((F.col("score") >= cutoff) & (F.col("query") != F.col("candidate")))

@@ -37,7 +37,7 @@ def best_matches(
 
     Copies are folded before anything is compared, and a query with an equal candidate needs
     no comparison at all. Both folded sides are read several times below, so they are written
-    once to the checkpoint folder.
+    once to the checkpoint folder. No side of a join is broadcast: texts would meet in the driver.
     """
     ensure_checkpoint_dir(queries.sparkSession)
     asked = (
@@ -52,9 +52,9 @@ def best_matches(
         .agg(F.min(F.struct("pos", "match_id")).alias("first"))
         .checkpoint()
     )
-    equal = texts.join(offered, "text").select("text", "first", F.lit(100).alias("score"))
+    equal = texts.join(offered.hint("merge"), "text").select("text", "first", F.lit(100).alias("score"))
     settled = equal.where(F.length("text") <= _EQUAL_IS_BEST).select("text")
-    open_texts = texts.join(settled, "text", "left_anti")
+    open_texts = texts.join(settled.hint("merge"), "text", "left_anti")
     near = near_pairs(open_texts, offered, cutoff, max_block).select(
         F.col("query").alias("text"), "first", "score"
     )
@@ -63,7 +63,7 @@ def best_matches(
         .groupBy("text")
         .agg(F.min(F.struct((-F.col("score")).alias("rank"), "first")).alias("best"))
     )
-    return asked.join(best, "text").select(
+    return asked.join(best.hint("merge"), "text").select(
         "query",
         F.col("best.first.match_id").alias("match_id"),
         (-F.col("best.rank")).alias("sim"),
@@ -109,8 +109,8 @@ def match_to_catalogue(
     )
     return (
         found.withColumnsRenamed({"query": "searchtext", "match_id": "g_id"})
-        .join(asked, "searchtext")
-        .join(titles, "g_id")
+        .join(asked.hint("merge"), "searchtext")
+        .join(titles.hint("merge"), "g_id")
         .select("song", "artist", "g_id", "g_title", "g_artist", F.col("sim").alias("match_score"))
     )
 
